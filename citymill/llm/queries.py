@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_rule_ledger": rules.op3_rule_ledger,
     "op6_byte_bpe": bpe.op6_byte_bpe,
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_rule_ledger": rules.OP3_SQL,
+}
