@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, rules
+from . import bpe, mixing, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rule_ledger": rules.op3_rule_ledger,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op8_pivotal_mix": mixing.op8_pivotal_mix,
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
