@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, rules
+from . import bpe, mixing, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_rule_ledger": rules.op3_rule_ledger,
+    "op5_toxic_neighbours": toxicity.op5_toxic_neighbours,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_pivotal_mix": mixing.op8_pivotal_mix,
 }
