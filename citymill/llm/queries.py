@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, rules, toxicity
+from . import bpe, mixing, pages, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_template": pages.op1_site_template,
     "op3_rule_ledger": rules.op3_rule_ledger,
     "op5_toxic_neighbours": toxicity.op5_toxic_neighbours,
     "op6_byte_bpe": bpe.op6_byte_bpe,
