@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pages, rules, toxicity
+from . import bpe, mixing, pages, private, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_template": pages.op1_site_template,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxic_neighbours": toxicity.op5_toxic_neighbours,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_pivotal_mix": mixing.op8_pivotal_mix,
+    "op10_surrogates": private.op10_surrogates,
 }
 
 #: DuckDB SQL for the queries that SQL can express over whole tables.
