@@ -73,7 +73,7 @@ class Index:
         for (term, block), entries in lists.items():
             self.postings.setdefault(term, {})[block] = (np.array([r for r, _ in entries]), np.array([w for _, w in entries]))
             self.most[term, block] = max(w for _, w in entries)
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.heads = heads_of(terms)
 
     def unit(self, counts: dict[int, float]) -> dict[int, float]:
         weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
@@ -81,7 +81,7 @@ class Index:
         return {t: w / norm for t, w in weights.items()} if norm else {}
 
     def counts(self, text: str) -> dict[int, float]:
-        return count_terms(text, self.terms, self.memo)
+        return count_terms(text, self.terms, self.heads)
 
     def nearest(self, text: str) -> list[tuple[float, int]]:
         """(similarity, row) of the k nearest examples that share a term, nearest first."""
@@ -110,17 +110,18 @@ class Index:
         return float((sum(s * self.labels[r] for s, r in found) + smooth * self.termed) / (total + smooth))
 
 
-def count_terms(text: str, terms: dict[str, int], memo: dict[str, tuple[int, ...]]) -> dict[int, float]:
-    """How often each known term occurs in a text; memo: the known terms of words seen before."""
+def heads_of(terms: dict[str, int]) -> frozenset[str]:
+    """The first characters of every term, by which most words of a text are passed over."""
+    return frozenset(t[: BEGINNINGS[0]] for t in terms)
+
+
+def count_terms(text: str, terms: dict[str, int], heads: frozenset[str], head: int = BEGINNINGS[0]) -> dict[int, float]:
+    """How often each known term occurs in a text."""
     found: dict[int, float] = {}
-    if len(memo) > 500_000:
-        memo.clear()
-    for word, n in Counter(LETTERS.findall(text.lower())).items():
-        own = memo.get(word)
-        if own is None:
-            own = memo[word] = tuple(terms[t] for t in terms_of(word) if t in terms)
-        for t in own:
-            found[t] = found.get(t, 0) + n
+    for word in [w for w in LETTERS.findall(text.lower()) if w[:head] in heads]:
+        for t in terms_of(word):
+            if t in terms:
+                found[terms[t]] = found.get(terms[t], 0) + 1
     return found
 
 
@@ -199,11 +200,11 @@ def document_frequency(docs: DataFrame, chosen: dict[str, int]) -> tuple[np.ndar
     """In how many of all documents each chosen term occurs, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n, memo = np.zeros(len(chosen) + 1, np.int64), 0, {}
+        total, n, heads = np.zeros(len(chosen) + 1, np.int64), 0, heads_of(chosen)
         for batch in batches:
             for text in common.texts_of(batch, "text"):
                 n += 1
-                if own := count_terms(text, chosen, memo):
+                if own := count_terms(text, chosen, heads):
                     total[list(own)] += 1
         total[-1] = n
         at = np.flatnonzero(total)
