@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, markov, mixing, pages, private, rules, toxicity
+from . import bpe, forest, markov, mixing, pages, private, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_template": pages.op1_site_template,
     "op2_hidden_markov": markov.op2_hidden_markov,
     "op3_rule_ledger": rules.op3_rule_ledger,
+    "op4_projection_forest": forest.op4_projection_forest,
     "op5_toxic_neighbours": toxicity.op5_toxic_neighbours,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_pivotal_mix": mixing.op8_pivotal_mix,
