@@ -3,7 +3,7 @@
 1. Examples: at most `SAMPLE` labelled training rows, by a hash of their id; near copies among
    them (an equal coordinate of a small MinHash) count once.
 2. Terms: words and word beginnings whose share of toxic examples stands out (log-likelihood
-   ratio of at least `GAIN`); at most `TERMS` of them.
+   ratio of at least `GAIN`, and `LIFT` times as common there); at most `TERMS` of them.
 3. Document frequencies of those terms come from all documents, not from the sample.
 4. The examples' normalised TF-IDF vectors are posted by term in blocks of `BLOCK` examples,
    each with its largest weight. A text visits blocks from the highest bound down and stops at
@@ -36,6 +36,7 @@ from . import common
 SAMPLE = 6_000
 TERMS = 3_000
 GAIN = 18.0
+LIFT = 5.0  # times as common among toxic examples as among others, at least
 BLOCK = 64
 NEIGHBOURS = 15
 BEGINNINGS = (4, 5, 6)
@@ -99,7 +100,9 @@ class Index:
             for term, weight in vector.items():
                 if entry := self.postings.get(term, {}).get(int(block)):
                     scores[entry[0]] += weight * entry[1]
-            hits = np.flatnonzero(scores)
+            hits = np.flatnonzero((scores > 0) & (scores >= (best[-1][0] if len(best) == self.k else 0)))
+            if not len(hits):
+                continue
             best = sorted([*best, *((float(scores[r]), int(block) * BLOCK + int(r)) for r in hits)], key=lambda x: (-x[0], x[1]))[: self.k]
         return best
 
@@ -143,8 +146,8 @@ def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
 
 
 def _gain(n1: int, n0: int, all1: int, all0: int) -> float:
-    """Log-likelihood ratio of a term found in n1 of all1 toxic and n0 of all0 other examples; 0 if not in favour of toxic."""
-    if n1 * (all0 or 1) <= n0 * (all1 or 1):
+    """Log-likelihood ratio of a term found in n1 of all1 toxic and n0 of all0 other examples; 0 below LIFT."""
+    if n1 * (all0 or 1) < LIFT * n0 * (all1 or 1):
         return 0.0
     share, total = (n1 + n0) / (all1 + all0), 0.0
     for n, size in ((n1, all1), (n0, all0)):
@@ -175,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
         return pa.RecordBatch.from_pylist([{"term": t, "label": label, "n": n} for (t, label), n in out.items()], pa.schema([("term", pa.string()), ("label", pa.int32()), ("n", pa.int64())])) if out else None
 
     counted = common.map_batches(rows.dropDuplicates(["doc_id"]).select("doc_id", "toxic", "words"), work, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("label") != 1, F.col("n")).otherwise(0)).alias("n0"))
-    hopeful = counted.where((F.col("n1") >= 3) & (F.col("n1") * max(all0, 1) > F.col("n0") * max(all1, 1))).orderBy(F.desc(F.col("n1") - F.col("n0")), "term").limit(20 * terms)
+    hopeful = counted.where((F.col("n1") >= 3) & (F.col("n1") * max(all0, 1) >= LIFT * F.col("n0") * max(all1, 1))).orderBy(F.desc(F.col("n1") - F.col("n0")), "term").limit(20 * terms)
     gains = sorted(((_gain(r.n1, r.n0, all1, all0), r.term) for r in hopeful.collect()), key=lambda x: (-x[0], x[1]))
     chosen = {t: k for k, t in enumerate(t for g, t in gains[:terms] if g >= GAIN)}
     frequency, n_docs = document_frequency(docs, chosen)
