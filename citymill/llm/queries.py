@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, forest, markov, mixing, near, pages, private, rules, toxicity
+from . import bpe, forest, markov, mixing, near, pages, private, repeats, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_template": pages.op1_site_template,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op7_minhash_join": near.op7_minhash_join,
     "op8_pivotal_mix": mixing.op8_pivotal_mix,
+    "op9_suffix_repeats": repeats.op9_suffix_repeats,
     "op10_surrogates": private.op10_surrogates,
 }
 
