@@ -117,25 +117,30 @@ def encoder(path: str, pattern: str, kind: type[PieceEncoder] = PieceEncoder) ->
     return kind(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", offsets: bool = False, checked: bool = False) -> DataFrame:
     """(id, ids, decoded[, starts, ends]): token ids, the bytes they decode to, character offsets.
 
+    checked: instead of decoded, round_trip says whether the ids decode to the text's bytes.
+
     Offsets are in characters of the text; tokens that share a split character share its span.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"`{id_column}` {kind}, ids array<int>, decoded binary" + (", starts array<int>, ends array<int>" if offsets else "")
+    second = ("round_trip", "boolean", pa.bool_()) if checked else ("decoded", "binary", pa.binary())
+    schema = f"`{id_column}` {kind}, ids array<int>, {second[0]} {second[1]}" + (", starts array<int>, ends array<int>" if offsets else "")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = encoder(path, pattern)
         columns: list[list] = [[], [], [], []]
-        for ids, spans in own.encode(common.texts_of(batch, text_column)):
+        texts = common.texts_of(batch, text_column)
+        for text, (ids, spans) in zip(texts, own.encode(texts), strict=True):
+            decoded = own.decode(ids)
             columns[0].append(ids)
-            columns[1].append(own.decode(ids))
+            columns[1].append(decoded == text.encode() if checked else decoded)
             if offsets:
                 columns[2].append([a for a, _ in spans])
                 columns[3].append([b for _, b in spans])
-        kinds = (pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))[: 4 if offsets else 2]
-        return pa.RecordBatch.from_arrays([batch.column(id_column), *map(pa.array, columns, kinds)], [id_column, "ids", "decoded", "starts", "ends"][: 5 if offsets else 3])
+        kinds = (pa.list_(pa.int32()), second[2], pa.list_(pa.int32()), pa.list_(pa.int32()))[: 4 if offsets else 2]
+        return pa.RecordBatch.from_arrays([batch.column(id_column), *map(pa.array, columns, kinds)], [id_column, "ids", second[0], "starts", "ends"][: 5 if offsets else 3])
 
     return common.map_batches(docs.select(id_column, text_column), work, schema)
 

@@ -45,6 +45,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, which driver and executors share."""
+    return prepare(spark).sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
