@@ -4,8 +4,633 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalar
+from ..operators import clouds, flight, metrics, pairs, solids, tiling, topology, voxels
+from ..session import table
+from ..sources import files, obj
+from . import adapters as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "tile_selected"
+
+STEPS, CUBE, OFFSET = (100.0, 100.0), 150.0, 25.0
+SCENE = flight.Scene(0.0, 500.0, 0.0, 120.0, 0.0, 320.0)
+V = A.VERTICES_SQL
+
+
+def plan(sql: str | None = None):
+    """Registers a query under its function's name, with its SQL if it has any."""
+
+    def register(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def joined(column: str | Column) -> Column:
+    """An array as text, so that engines compare it alike."""
+    return F.array_join(F.transform(column, lambda v: v.cast("string")), ",")
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded; adding 0.0 turns a negative zero into zero."""
+    return df.select(*[(F.round(f.name, digits) + F.lit(0.0)).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name) for f in df.schema])
+
+
+# mesh text and bounds
+
+_BOX = "min(CASE WHEN NOT isnan({0}) THEN {0} END) AS min_{0}, max(CASE WHEN NOT isnan({0}) THEN {0} END) AS max_{0}"
+BOX = ", ".join(_BOX.format(a) for a in "xyz")
+NUM = r"CASE WHEN regexp_full_match({0}, '[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?') THEN TRY_CAST({0} AS DOUBLE) WHEN lower({0}) = 'nan' THEN CAST('nan' AS DOUBLE) END"
+TOKENS = r"tok AS (SELECT path, value, string_split_regex(trim(value), '\s+') AS t FROM obj_lines)"
+PARSED = ", ".join(NUM.format(f"t[{k + 2}]") + f" AS {a}" for k, a in enumerate("xyz"))
+
+
+@plan(f"WITH {V} SELECT mesh, {BOX} FROM vertices GROUP BY mesh")
+def obj_bbox_per_file(spark, sf):
+    return metrics.bounds(A.vertices(spark, sf))
+
+
+@plan(f"WITH {V} SELECT coalesce(CAST(mesh AS VARCHAR), 'all') AS mesh, {BOX} FROM vertices GROUP BY GROUPING SETS ((mesh), ())")
+def obj_bbox_summary(spark, sf):
+    return metrics.bounds_with_summary(A.vertices(spark, sf)).withColumn("mesh", F.coalesce(F.col("mesh").cast("string"), "scope")).drop("scope")
+
+
+@plan(f"WITH {V}, b AS (SELECT mesh, {BOX} FROM vertices GROUP BY mesh), e AS (SELECT mesh, max_x - min_x AS extent_x, max_y - min_y AS extent_y, max_z - min_z AS extent_z FROM b) SELECT mesh, round(extent_x, 6) AS extent_x, round(extent_y, 6) AS extent_y, round(extent_z, 6) AS extent_z FROM e WHERE extent_x > 40 AND extent_y > 40 AND extent_z > 40")
+def obj_extent_threshold(spark, sf):
+    return rounded(metrics.above_threshold(A.vertices(spark, sf), 40.0))
+
+
+@plan(f"WITH {V}, h AS (SELECT mesh, max(y) - min(y) AS height FROM vertices GROUP BY mesh) SELECT count(*) AS total, count(*) FILTER (height > 60) AS exceeding, count(*) FILTER (height IS NULL) AS skipped FROM h")
+def obj_height_counts(spark, sf):
+    return metrics.height_counts(A.vertices(spark, sf), 60.0)
+
+
+@plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(value, 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, {BOX} FROM v WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL GROUP BY path")
+def obj_parse_strict(spark, sf):
+    v = obj.strict_vertices(A.obj_lines(spark, sf))
+    return v.groupBy("path").agg(F.count("*").alias("n")).join(metrics.bounds(v, "path"), "path")
+
+
+@plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(value, 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, max(y) - min(y) AS height FROM v WHERE y IS NOT NULL GROUP BY path")
+def obj_parse_height(spark, sf):
+    return obj.vertex_heights(A.obj_lines(spark, sf)).groupBy("path").agg(F.count("*").alias("n"), (F.max("y") - F.min("y")).alias("height"))
+
+
+@plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(ltrim(value), 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, {BOX} FROM v GROUP BY path HAVING NOT bool_or(x IS NULL OR y IS NULL OR z IS NULL)")
+def obj_parse_lenient(spark, sf):
+    v = obj.lenient_vertices(A.obj_lines(spark, sf))
+    return v.groupBy("path").agg(F.count("*").alias("n")).join(metrics.bounds(v, "path"), "path")
+
+
+@plan(f"WITH {A.OBJ_LINES_SQL} SELECT path, bool_or(starts_with(value, 'v ')) AS has_vertices FROM obj_lines GROUP BY path")
+def obj_has_vertices(spark, sf):
+    return obj.has_vertices(A.obj_lines(spark, sf))
+
+
+@plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(value, 'v ') AND len(t) >= 4), b AS (SELECT path, {BOX} FROM v WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL GROUP BY path), s AS (SELECT CASE WHEN max_y IS NULL THEN 'failed' WHEN max_x - min_x > 45 AND max_y - min_y > 9 AND max_z - min_z > 45 THEN 'qualified' ELSE 'below' END AS status FROM (SELECT DISTINCT path FROM obj_lines) LEFT JOIN b USING (path)) SELECT status, count(*) AS n FROM s GROUP BY status")
+def status_counts(spark, sf):
+    return metrics.status_counts(obj.mesh_outcomes(A.obj_lines(spark, sf), 9.0).withColumn("status", F.when(F.col("status") == "failed", "failed").when((F.col("extent_x") > 45) & (F.col("extent_y") > 9) & (F.col("extent_z") > 45), "qualified").otherwise("below")))
+
+
+@plan(f"WITH {V}, b AS (SELECT mesh, {BOX} FROM vertices GROUP BY mesh) SELECT mesh, round(-max_z, 6) + 0e0 AS min_x, round(-min_z, 6) + 0e0 AS max_x, round(min_y * 2 + 5, 6) AS min_y, round(max_y * 2 + 5, 6) AS max_y, round(min_x, 6) AS min_z, round(max_x, 6) AS max_z FROM b")
+def world_bounds(spark, sf):
+    return rounded(metrics.world_bounds(metrics.bounds(A.vertices(spark, sf)), [[0.0, 0.0, -1.0, 0.0], [0.0, 2.0, 0.0, 5.0], [1.0, 0.0, 0.0, 0.0]]))
+
+
+# tiles and subsets
+
+GRID = f"""{V}, b AS (SELECT {BOX} FROM vertices),
+gi AS (SELECT unnest(range(CAST(ceil((max_x - min_x) / 100e0) AS BIGINT))) AS i FROM b),
+gj AS (SELECT unnest(range(CAST(ceil((max_z - min_z) / 100e0) AS BIGINT))) AS j FROM b),
+grid AS (SELECT i, j, min_x + (CAST(i AS DOUBLE) + 5e-1) * 100e0 AS cx, min_z + (CAST(j AS DOUBLE) + 5e-1) * 100e0 AS cz FROM b CROSS JOIN gi CROSS JOIN gj)"""
+STATS = f"""{GRID}, stats AS (SELECT i, j, mesh, count(*) AS n, max(y) AS max_y FROM grid JOIN vertices
+  ON x >= cx - 75e0 AND x <= cx + 75e0 AND z >= cz - 75e0 AND z <= cz + 75e0 GROUP BY i, j, mesh)"""
+SELECTED = f"""{STATS}, judged AS (SELECT *, max(max_y) OVER (PARTITION BY i, j) AS tile_max FROM stats),
+selected AS (SELECT i, j, mesh, n, max_y FROM judged CROSS JOIN (SELECT min_y AS floor_y FROM b) WHERE tile_max <= floor_y + 100e0 AND n >= 200)"""
+CHUNKS = f"""{SELECTED}, tiles AS (SELECT i, j, list_sort(list(mesh)) AS meshes FROM selected GROUP BY i, j),
+bits AS (SELECT i, j, meshes, unnest(range(1 << len(meshes))) AS bits FROM tiles WHERE len(meshes) <= 16),
+sets AS (SELECT i, j, list_filter(meshes, lambda m, k: ((bits >> (k - 1)) & 1) = 1) AS building_indices, list_filter(meshes, lambda m, k: ((bits >> (k - 1)) & 1) = 0) AS ground_indices FROM bits),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY i, j ORDER BY len(building_indices), building_indices) - 1 AS k FROM sets),
+chunks AS (SELECT i, j, k, building_indices, ground_indices, i || '_' || j || '_' || k AS name FROM numbered)"""
+
+
+def _selected(spark, sf):
+    v = A.vertices(spark, sf)
+    return tiling.selected(tiling.mesh_stats(v, STEPS, CUBE), tiling.height_limit(v, CUBE, OFFSET))
+
+
+def _chunks(spark, sf):
+    return tiling.powerset(tiling.tile_meshes(_selected(spark, sf)))
+
+
+@plan(f"WITH {GRID} SELECT i, j, round(cx, 6) AS cx, round(cz, 6) AS cz FROM grid")
+def tile_grid(spark, sf):
+    return rounded(tiling.tile_grid(A.vertices(spark, sf), STEPS))
+
+
+@plan(f"WITH {STATS} SELECT i, j, mesh, n, round(max_y, 6) AS max_y FROM stats")
+def tile_mesh_stats(spark, sf):
+    return rounded(tiling.mesh_stats(A.vertices(spark, sf), STEPS, CUBE))
+
+
+@plan(f"WITH {SELECTED} SELECT i, j, mesh, n, round(max_y, 6) AS max_y FROM selected")
+def tile_selected(spark, sf):
+    return rounded(_selected(spark, sf))
+
+
+@plan(f"WITH {CHUNKS} SELECT i, j, k, name, array_to_string(building_indices, ',') AS buildings, array_to_string(ground_indices, ',') AS grounds FROM chunks")
+def tile_powerset(spark, sf):
+    return _chunks(spark, sf).select("i", "j", "k", "name", joined("building_indices").alias("buildings"), joined("ground_indices").alias("grounds"))
+
+
+@plan(f"WITH {GRID}, m AS (SELECT mesh, {BOX} FROM vertices GROUP BY mesh) SELECT m.mesh, g.i || '_' || g.j AS tile FROM m JOIN grid g CROSS JOIN b ON m.min_x <= g.cx + 50e0 + 1e-5 AND m.max_x >= g.cx - 50e0 - 1e-5 AND m.min_z <= g.cz + 50e0 + 1e-5 AND m.max_z >= g.cz - 50e0 - 1e-5 AND m.min_y <= 60e0 + 1e-5 AND m.max_y >= 20e0 - 1e-5".replace("JOIN grid g CROSS JOIN b ON", "JOIN grid g ON"))
+def aabb_overlap(spark, sf):
+    v = A.vertices(spark, sf)
+    half = F.lit(50.0)
+    tiles = tiling.tile_grid(v, STEPS).select(F.concat_ws("_", "i", "j").alias("tile"), (F.col("cx") - half).alias("min_x"), (F.col("cx") + half).alias("max_x"), F.lit(20.0).alias("min_y"), F.lit(60.0).alias("max_y"), (F.col("cz") - half).alias("min_z"), (F.col("cz") + half).alias("max_z"))
+    return tiling.overlapping_boxes(metrics.bounds(v), tiles, 100.0)
+
+
+@plan(f"WITH {V} SELECT mesh, count(*) AS n FROM vertices GROUP BY mesh HAVING bool_and(x >= 0 AND x <= 400 AND y >= 0 AND y <= 90 AND z >= 0 AND z <= 250)")
+def meshes_inside(spark, sf):
+    v = A.vertices(spark, sf)
+    inside = tiling.meshes_inside(v, {"x": 0.0, "y": 0.0, "z": 0.0}, {"x": 400.0, "y": 90.0, "z": 250.0})
+    return v.join(inside, "mesh", "left_semi").groupBy("mesh").agg(F.count("*").alias("n"))
+
+
+@plan("SELECT s_suppkey, (row_number() OVER (ORDER BY s_suppkey) - 1) % 7 AS worker FROM supplier")
+def round_robin_assign(spark, sf):
+    return tiling.assign_round_robin(table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey", 7)
+
+
+@plan("SELECT s_suppkey, ntile(7) OVER (ORDER BY s_suppkey) - 1 AS worker FROM supplier")
+def ntile_assign(spark, sf):
+    return tiling.assign_balanced(table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey", 7)
+
+
+@plan("SELECT s_suppkey, (row_number() OVER (ORDER BY s_suppkey) - 1) // 16 AS batch FROM supplier")
+def batch_assign(spark, sf):
+    return tiling.assign_batches(table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey", 16)
+
+
+# chunk names and pairs
+
+CHUNK_NAMES = f"{CHUNKS}, names AS (SELECT name FROM chunks UNION ALL SELECT 'x_' || s_suppkey FROM supplier UNION ALL SELECT s_suppkey || '_2_3_4' FROM supplier WHERE s_suppkey < 5)"
+
+
+def _names(spark, sf):
+    s = table(spark, sf, "supplier")
+    return _chunks(spark, sf).select("name").unionByName(s.select(F.concat(F.lit("x_"), "s_suppkey").alias("name"))).unionByName(s.where("s_suppkey < 5").select(F.concat("s_suppkey", F.lit("_2_3_4")).alias("name")))
+
+
+@plan(f"WITH {CHUNK_NAMES}, p AS (SELECT DISTINCT split_part(name, '_', 1) || '_' || split_part(name, '_', 2) AS prefix FROM names WHERE contains(name, '_')) SELECT count(*) AS n, string_agg(prefix, ',' ORDER BY prefix) AS prefixes FROM p")
+def chunk_prefix_count(spark, sf):
+    return pairs.prefix_counts(_names(spark, sf)).select("n", joined("prefixes").alias("prefixes"))
+
+
+@plan(f"WITH {CHUNK_NAMES}, p AS (SELECT string_split(name, '_') AS t FROM names WHERE regexp_full_match(name, '\\d+_\\d+_\\d+')) SELECT CAST(t[1] AS INTEGER) AS a, CAST(t[2] AS INTEGER) AS b, max(CAST(t[3] AS INTEGER)) AS max_c FROM p GROUP BY 1, 2")
+def chunk_max_third(spark, sf):
+    return pairs.highest_third(_names(spark, sf))
+
+
+@plan(f"WITH {CHUNKS}, n AS (SELECT CAST(i AS INTEGER) AS a, CAST(j AS INTEGER) AS b, CAST(k AS INTEGER) AS c FROM chunks WHERE k % 3 <> 1), m AS (SELECT a, b, max(c) AS mx FROM n GROUP BY a, b), f AS (SELECT a, b, CAST(unnest(range(mx + 1)) AS INTEGER) AS c FROM m) SELECT a, b, c FROM f WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.a = f.a AND n.b = f.b AND n.c = f.c)")
+def chunk_gaps(spark, sf):
+    return pairs.gaps(_chunks(spark, sf).where("k % 3 <> 1").select("name"))
+
+
+_SUPERSET = "len(list_filter({1}, lambda v: NOT list_contains({0}, v))) > 0 AND len(list_filter({0}, lambda v: NOT list_contains({1}, v))) = 0"
+PAIRS = f"{CHUNKS}, pairs AS (SELECT a.i, a.j, a.name AS t1, b.name AS t2, list_sort(list_filter(b.building_indices, lambda v: NOT list_contains(a.building_indices, v))) AS new_buildings FROM chunks a JOIN chunks b ON a.i = b.i AND a.j = b.j AND a.k <> b.k WHERE {_SUPERSET.format('a.building_indices', 'b.building_indices')})"
+
+
+@plan(f"WITH {PAIRS} SELECT i, j, t1, t2, array_to_string(new_buildings, ',') AS new_buildings FROM pairs")
+def pairs_buildings(spark, sf):
+    return pairs.state_pairs(_chunks(spark, sf)).withColumn("new_buildings", joined("new_buildings"))
+
+
+@plan(f"WITH {CHUNKS} SELECT a.i, a.j, a.name AS t1, b.name AS t2 FROM chunks a JOIN chunks b ON a.i = b.i AND a.j = b.j AND a.k <> b.k WHERE ({_SUPERSET.format('a.building_indices', 'b.building_indices')}) OR ({_SUPERSET.format('a.ground_indices', 'b.ground_indices')})")
+def pairs_buildings_grounds(spark, sf):
+    return pairs.state_pairs(_chunks(spark, sf), with_grounds=True).drop("new_buildings")
+
+
+@plan(f"WITH {CHUNKS}, g AS (SELECT DISTINCT i, j FROM chunks), r AS (SELECT *, row_number() OVER (ORDER BY md5('7_' || i || '_' || j), i, j) AS p, count(*) OVER () AS n FROM g) SELECT i, j, CASE WHEN p <= greatest(floor(n * 0.1), 1) THEN 'val' ELSE 'train' END AS split FROM r")
+def pairs_split(spark, sf):
+    return pairs.split_groups(_chunks(spark, sf), 0.1, "7")
+
+
+@plan(f"""WITH {CHUNKS}, t AS (SELECT [11, 23, 34, 35, 47, 5] AS w), f AS (SELECT i, j, max(k) AS last, arg_max(name, k) AS t2, arg_max(building_indices, k) AS fb FROM chunks GROUP BY i, j),
+c AS (SELECT i, j, min(k) AS fk, arg_min(name, k) AS first FROM chunks CROSS JOIN t WHERE list_has_any(ground_indices, w) AND len(list_filter(ground_indices, lambda v: NOT list_contains(w, v))) = 0 GROUP BY i, j)
+SELECT f.i, f.j, CASE WHEN NOT list_has_any(fb, w) THEN t2 WHEN fk < last THEN first END AS t1, t2 FROM f CROSS JOIN t LEFT JOIN c ON f.i = c.i AND f.j = c.j""")
+def select_t1(spark, sf):
+    return pairs.first_states(_chunks(spark, sf), [11, 23, 34, 35, 47, 5])
+
+
+@plan(f"WITH {PAIRS} SELECT t1, t2, unnest(new_buildings) AS item FROM pairs")
+def change_new_names(spark, sf):
+    chunks = _chunks(spark, sf)
+    return pairs.new_names(chunks, pairs.state_pairs(chunks))
+
+
+@plan(f"WITH {PAIRS}, c AS (SELECT l_suppkey AS item, count(*) AS n FROM lineitem WHERE l_linenumber = 1 AND l_suppkey % 3 > 0 GROUP BY 1), u AS (SELECT t1, t2, unnest(new_buildings) AS item FROM pairs) SELECT t1, t2, CAST(sum(n) AS BIGINT) AS points FROM u JOIN c USING (item) GROUP BY t1, t2")
+def change_cloud_sizes(spark, sf):
+    chunks = _chunks(spark, sf)
+    cloud = table(spark, sf, "lineitem").where("l_linenumber = 1 AND l_suppkey % 3 > 0").select(F.col("l_suppkey").alias("cloud"), "l_orderkey")
+    return pairs.change_clouds(chunks, pairs.state_pairs(chunks), cloud).groupBy("t1", "t2").agg(F.count("*").alias("points"))
+
+
+MODELS = "models AS (SELECT 'b' || s_suppkey || '_' || (s_suppkey * 7 % 11) AS name FROM supplier)"
+PLACED = f"{MODELS}, placed AS (SELECT name AS model, row_number() OVER (ORDER BY list_transform(regexp_extract_all(name, '(\\d+)', 1), lambda d: CAST(d AS HUGEINT)), name) - 1 AS position FROM models)"
+
+
+def _models(spark, sf):
+    return table(spark, sf, "supplier").select(F.concat(F.lit("b"), "s_suppkey", F.lit("_"), F.col("s_suppkey") * 7 % 11).alias("name"))
+
+
+@plan(f"WITH {PLACED} SELECT model AS name, position FROM placed")
+def natural_sort_names(spark, sf):
+    from pyspark.sql import Window
+
+    order = Window.orderBy(scalar.natural_key(F.col("name")), "name")
+    return _models(spark, sf).select("name", (F.row_number().over(order) - 1).cast("long").alias("position"))
+
+
+@plan(f"WITH {CHUNKS}, {PLACED}, a AS (SELECT name, unnest(ground_indices) AS position, generate_subscripts(ground_indices, 1) AS pos FROM chunks), f AS (SELECT a.name, string_agg(model, ',' ORDER BY pos) AS models FROM a JOIN placed USING (position) GROUP BY a.name) SELECT c.name, coalesce(models, '') AS models FROM chunks c LEFT JOIN f USING (name)")
+def ground_names_lookup(spark, sf):
+    return pairs.ground_names(_chunks(spark, sf), _models(spark, sf)).select("name", joined("models").alias("models"))
+
+
+@plan(f"WITH {MODELS} SELECT name FROM models WHERE name IN (SELECT 'b' || n_nationkey || '_' || (n_nationkey * 7 % 11) FROM nation)")
+def models_by_name(spark, sf):
+    names = table(spark, sf, "nation").select(F.concat(F.lit("b"), "n_nationkey", F.lit("_"), F.col("n_nationkey") * 7 % 11).alias("name"))
+    return tiling.models_named(_models(spark, sf), names)
+
+
+# clouds
+
+ANGLED = f"{A.POINTS_SQL}, a AS (SELECT unnest([0e0, 90e0, 180e0, 270e0]) AS angle)"
+
+
+@plan(f"WITH {ANGLED} SELECT cloud, pid, y, angle, round(CASE WHEN angle = 0 THEN x ELSE x * cos(radians(angle)) + z * sin(radians(angle)) END, 6) + 0e0 AS x, round(CASE WHEN angle = 0 THEN z ELSE z * cos(radians(angle)) - x * sin(radians(angle)) END, 6) + 0e0 AS z FROM points CROSS JOIN a".replace("pid, y,", "pid, round(y, 6) + 0e0 AS y,"))
+def cloud_rotate_y(spark, sf):
+    return rounded(clouds.rotations(A.points(spark, sf)))
+
+
+CROPPED = f"{A.POINTS_SQL}, chunk AS (SELECT s_suppkey AS chunk, ((s_suppkey % 5) - 2) * 1e-1 AS px, 0e0 AS py, ((s_suppkey % 3) - 1) * 1e-1 AS pz, 2e-1 AS size FROM supplier WHERE s_suppkey <= 15), moved AS (SELECT chunk, pid, (x - px) * 2e0 / size AS x, (y - py) * 2e0 / size AS y, (z - pz) * 2e0 / size AS z FROM points CROSS JOIN chunk), inside AS (SELECT *, count(*) OVER (PARTITION BY chunk) AS n FROM moved WHERE x BETWEEN -15e-1 AND 15e-1 AND y BETWEEN -15e-1 AND 15e-1 AND z BETWEEN -15e-1 AND 15e-1)"
+
+
+def _crop_chunks(spark, sf):
+    key = F.col("s_suppkey")
+    return table(spark, sf, "supplier").where("s_suppkey <= 15").select(key.alias("chunk"), (((key % 5) - 2) * 0.1).alias("px"), F.lit(0.0).alias("py"), (((key % 3) - 1) * 0.1).alias("pz"), F.lit(0.2).alias("size"))
+
+
+@plan(f"WITH {CROPPED} SELECT chunk, pid, round(x, 6) + 0e0 AS x, round(y, 6) + 0e0 AS y, round(z, 6) + 0e0 AS z FROM inside WHERE n > 10")
+def cloud_normalize_crop(spark, sf):
+    return rounded(clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf)))
+
+
+@plan(f"WITH {CROPPED} SELECT chunk, count(*) AS n FROM inside WHERE n > 10 GROUP BY chunk")
+def chunk_point_crop(spark, sf):
+    return clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf), cell=0.2).groupBy("chunk").agg(F.count("*").alias("n"))
+
+
+@plan(f"WITH {A.POINTS_SQL} SELECT cloud, round(max(x), 6) + 0e0 AS max_x, round(max(y), 6) + 0e0 AS max_y, round(max(z), 6) + 0e0 AS max_z, greatest(max(x), max(y), max(z)) > 0.45 AS above FROM points GROUP BY cloud")
+def cloud_axis_maxima(spark, sf):
+    return rounded(metrics.axis_maxima(A.points(spark, sf), 0.45))
+
+
+ODD = "odd AS (SELECT cloud, pid, CASE WHEN pid % 7 = 0 THEN CAST('nan' AS DOUBLE) WHEN pid % 11 = 0 THEN CAST('inf' AS DOUBLE) ELSE x END AS x, y, CASE WHEN pid % 13 = 0 THEN CAST('-inf' AS DOUBLE) ELSE z END AS z FROM points)"
+
+
+@plan(f"WITH {A.POINTS_SQL}, {ODD} SELECT cloud, count(*) AS n, round(sum(x + y + z), 4) + 0e0 AS total FROM odd WHERE isfinite(x) AND isfinite(y) AND isfinite(z) GROUP BY cloud")
+def cloud_finite(spark, sf):
+    p, pid = A.points(spark, sf), F.col("pid")
+    odd = p.withColumn("x", F.when(pid % 7 == 0, float("nan")).when(pid % 11 == 0, float("inf")).otherwise(F.col("x"))).withColumn("z", F.when(pid % 13 == 0, float("-inf")).otherwise(F.col("z")))
+    return clouds.finite(odd).groupBy("cloud").agg(F.count("*").alias("n"), (F.round(F.sum(F.col("x") + F.col("y") + F.col("z")), 4) + F.lit(0.0)).alias("total"))
+
+
+@plan(f"WITH {A.POINTS_SQL} SELECT cloud, count(*) AS n FROM (SELECT * FROM points UNION ALL SELECT cloud, pid, x, y, z FROM points WHERE pid % 2 = 0) GROUP BY cloud")
+def cloud_union(spark, sf):
+    p = A.points(spark, sf)
+    return clouds.union_all(p, p.where("pid % 2 = 0")).groupBy("cloud").agg(F.count("*").alias("n"))
+
+
+# footprints
+
+WORST = f"{A.FOOTPRINTS_SQL}, r AS (SELECT path, idx, greatest(abs(x1), abs(z1), abs(x2), abs(z2)) AS reach FROM footprints), w AS (SELECT path, max(reach) AS worst, min(idx) FILTER (reach = m) AS entry FROM (SELECT *, max(reach) OVER (PARTITION BY path) AS m FROM r) GROUP BY path)"
+
+
+@plan(f"WITH {WORST} SELECT path, round(worst, 6) AS worst, entry FROM w")
+def footprint_worst_coord(spark, sf):
+    return rounded(metrics.worst_coordinate(A.footprints(spark, sf)))
+
+
+@plan(f"WITH {WORST} SELECT path, round(worst, 6) AS worst, entry, greatest((SELECT count(*) FROM w WHERE worst > 200) - 20, 0) AS remainder FROM w WHERE worst > 200 ORDER BY w.worst DESC, path LIMIT 20")
+def footprint_topk(spark, sf):
+    return rounded(metrics.top_offenders(metrics.worst_coordinate(A.footprints(spark, sf)), 200.0, 20))
+
+
+@plan(f"WITH {A.FOOTPRINTS_SQL}, a AS (SELECT unnest([0e0, 90e0, 180e0, 270e0]) AS angle) SELECT path, idx, angle, round(CASE WHEN angle = 0 THEN x1 ELSE x1 * cos(radians(angle)) + z1 * sin(radians(angle)) END, 7) + 0e0 AS x, round(CASE WHEN angle = 0 THEN z1 ELSE z1 * cos(radians(angle)) - x1 * sin(radians(angle)) END, 7) + 0e0 AS z FROM footprints CROSS JOIN a")
+def footprint_rotate(spark, sf):
+    f = A.footprints(spark, sf)
+    turned = [f.select("path", "idx", F.lit(a).alias("angle"), scalar.rotate_contour(F.col("contour"), a).alias("c")) for a in clouds.ANGLES]
+    return rounded(clouds.union_all(*turned).select("path", "idx", "angle", F.col("c")[0]["x"].alias("x"), F.col("c")[0]["z"].alias("z")), 7)
+
+
+# scalar functions
+
+@plan(f"""WITH {V}, s AS (SELECT mesh, x, y, z, (x * 3e0 - 700e0) AS angle FROM vertices)
+SELECT mesh, count(*) AS n, round(sum(greatest(10e0, least(300e0, x))), 2) AS clamped,
+  round(sum(CASE WHEN abs(angle + 180 - 360 * floor((angle + 180) / 360) - 180) < 1e-9 THEN 0 ELSE angle + 180 - 360 * floor((angle + 180) / 360) - 180 END), 2) AS wrapped,
+  round(sum(2 * (y + 1) * tan(radians(greatest(5e0, least(170e0, (x / 8) / 2))))), 2) AS footprint,
+  round(sum(degrees(2 * atan(75e-2 * tan(radians(z / 4) / 2)))), 2) AS fov, round(sum(ceil(x / 7e0) * 7e0), 2) AS ceiled,
+  round(sum(greatest(x * (1 - greatest(0e0, least(95e-2, y / 100))), x * 1e-1)), 2) AS step, round(sum((x - 100e0) * 2e0 / 50e0), 2) AS cubed,
+  round(sum(sqrt(x * x + y * y + z * z)), 2) AS length, round(sum(x * 20e0 - z * 10e0), 2) AS crossed,
+  round(sum(CASE WHEN x * x + y * y + z * z > 0 THEN degrees(acos(greatest(-1e0, least(1e0, y / sqrt(x * x + y * y + z * z))))) ELSE 0 END), 2) AS angled
+FROM s GROUP BY mesh""")
+def scalar_functions(spark, sf):
+    x, y, z = F.col("x"), F.col("y"), F.col("z")
+    zero, one = F.lit(0.0), F.lit(1.0)
+    columns = {
+        "clamped": scalar.clamp(x, 10.0, 300.0),
+        "wrapped": scalar.wrap_degrees(x * 3.0 - 700.0),
+        "footprint": scalar.ground_footprint(y + 1, x / 8),
+        "fov": scalar.vertical_fov(z / 4, F.lit(0.75)),
+        "ceiled": scalar.ceil_to(x, F.lit(7.0)),
+        "step": scalar.overlap_step(x, y / 100),
+        "cubed": scalar.to_cube(x, F.lit(100.0), F.lit(50.0)),
+        "length": scalar.distance(x, y, z),
+        "crossed": scalar.cross_2d(zero, zero, x, z, F.lit(10.0), F.lit(20.0)),
+        "angled": scalar.angle_between((x, y, z), (zero, one, zero)),
+    }
+    v = A.vertices(spark, sf)
+    return v.groupBy("mesh").agg(F.count("*").alias("n"), *[F.round(F.sum(c), 2).alias(n) for n, c in columns.items()])
+
+
+@plan(f"WITH {V} SELECT mesh, count(*) AS n FROM vertices WHERE NOT ((100 * z < -1e-12 OR (0 - 100) * z - 300 * (x - 100) < -1e-12 OR (-0e0) * (z - 300) + 300 * x < -1e-12) AND (100 * z > 1e-12 OR (0 - 100) * z - 300 * (x - 100) > 1e-12 OR 300 * x > 1e-12)) GROUP BY mesh")
+def in_triangle_counts(spark, sf):
+    corners = tuple((F.lit(a), F.lit(b)) for a, b in ((0.0, 0.0), (100.0, 0.0), (0.0, 300.0)))
+    # the sign of each side as seen from the point is that of the side as seen from its first corner
+    return A.vertices(spark, sf).where(scalar.in_triangle(F.col("x"), F.col("z"), corners)).groupBy("mesh").agg(F.count("*").alias("n"))
+
+
+# paths of files
+
+_STEM = r"regexp_replace(base, '(.)\.[^.]*$', '\1')"
+
+
+@plan(rf"""WITH {A.LISTING_SQL}, p AS (SELECT id, path, string_split(path, '/') AS t FROM listing), q AS (SELECT id, path, t, t[len(t)] AS base FROM p)
+SELECT id, base, {_STEM} AS stem, lower(regexp_extract(base, '.(\.[^.]*)$', 1)) AS extension, regexp_replace(path, '/?[^/]*$', '') AS parent, regexp_extract(base, '^([^.]*)', 1) AS object_name,
+  len(list_filter(t, lambda x: starts_with(x, '.'))) > 0 AS hidden, replace(path, 'e', 'E') AS renamed, format('{{}}_{{:04d}}', {_STEM}, id) AS numbered FROM q""")
+def path_functions(spark, sf):
+    p = F.col("path")
+    return A.listing(spark, sf).select("id", scalar.base_name(p).alias("base"), scalar.stem(p).alias("stem"), scalar.extension(p).alias("extension"), scalar.parent(p).alias("parent"), scalar.object_name(p).alias("object_name"), scalar.is_hidden(p).alias("hidden"), F.replace(p, F.lit("e"), F.lit("E")).alias("renamed"), scalar.numbered(scalar.stem(p), F.col("id")).alias("numbered"))
+
+
+@plan(rf"""WITH {A.LISTING_SQL}, s AS (SELECT DISTINCT path FROM listing), f AS (SELECT path, EXISTS (SELECT 1 FROM listing d WHERE d.path = s.path AND d.id % 3 = 0) AS there, path LIKE '%.html' AS wanted FROM s)
+SELECT path, CASE WHEN NOT wanted THEN 'other_type' WHEN there THEN 'exists' ELSE 'copy' END AS action FROM f""")
+def copy_plan(spark, sf):
+    l = A.listing(spark, sf)
+    return files.copy_plan(l.select("path"), l.where("id % 3 = 0").select("path"), [" HTML "])
+
+
+# flight
+
+_ROWS = 8
+
+
+@plan("""WITH r AS (SELECT CAST(range AS INTEGER) AS row, 0e0 + (320e0 - 8 * 45e0) / 2 + range * 45e0 AS raw_z FROM range(9)), t AS (SELECT row, greatest(0e0, least(320e0, raw_z)) AS z FROM r WHERE raw_z <= 320e0 + 225e-1),
+p AS (SELECT row, z, CAST(unnest(range(14)) AS INTEGER) AS position FROM t), s AS (SELECT row, position, z, CASE WHEN row % 2 = 0 THEN least(position * 40e0, 500e0) ELSE 500e0 - least(position * 40e0, 500e0) END AS x FROM p),
+o AS (SELECT row_number() OVER (ORDER BY row, position) - 1 AS idx, *, 80e0 AS y FROM s),
+h AS (SELECT *, lead(x) OVER w - x AS ax, lead(z) OVER w - z AS az, x - lag(x) OVER w AS bx, z - lag(z) OVER w AS bz FROM o WINDOW w AS (ORDER BY idx)),
+a AS (SELECT *, coalesce(degrees(atan2(az, ax)), degrees(atan2(bz, bx)), 0e0) AS raw FROM h)
+SELECT idx, format('P_{:04d}', idx) AS name, row, position, round(x, 6) + 0e0 AS x, y, round(z, 6) + 0e0 AS z, round(raw + 180 - 360 * floor((raw + 180) / 360) - 180, 6) + 0e0 AS yaw FROM a""")
+def flight_path(spark, sf):
+    return rounded(flight.serpentine(spark, SCENE, 80.0, 40.0, 45.0))
+
+
+@plan("""WITH o AS (SELECT o_orderkey AS idx, (o_orderkey * 37 % 101) * 1e0 AS x, (o_orderkey * 53 % 89) * 1e0 AS z FROM orders), h AS (SELECT *, lead(x) OVER w - x AS ax, lead(z) OVER w - z AS az, x - lag(x) OVER w AS bx, z - lag(z) OVER w AS bz FROM o WINDOW w AS (ORDER BY idx)),
+a AS (SELECT idx, coalesce(degrees(atan2(az, ax)), degrees(atan2(bz, bx)), 0e0) AS raw FROM h), y AS (SELECT idx, raw + 180 - 360 * floor((raw + 180) / 360) - 180 AS yaw FROM a) SELECT idx, round(CASE WHEN abs(yaw) < 1e-9 THEN 0 ELSE yaw END, 6) + 0e0 AS yaw FROM y""")
+def flight_yaw(spark, sf):
+    poses = table(spark, sf, "orders").select(F.col("o_orderkey").alias("idx"), ((F.col("o_orderkey") * 37 % 101) * 1.0).alias("x"), ((F.col("o_orderkey") * 53 % 89) * 1.0).alias("z"))
+    return rounded(flight.headings(poses).select("idx", "yaw"))
+
+
+@plan("""WITH o AS (SELECT 'P_' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS p, (s_suppkey % 360) * 1e0 - 180 AS yaw FROM supplier), c(suffix, turn, pitch) AS (VALUES ('N', 0e0, -90e0), ('F', 0e0, -45e0), ('R', 90e0, -45e0), ('B', 180e0, -45e0), ('L', -90e0, -45e0))
+SELECT p || '_' || suffix || '.png' AS name, (yaw + turn) + 180 - 360 * floor(((yaw + turn) + 180) / 360) - 180 AS yaw, pitch, 0e0 AS roll FROM o CROSS JOIN c""")
+def camera_rig(spark, sf):
+    poses = table(spark, sf, "supplier").select(scalar.numbered(F.lit("P"), F.col("s_suppkey")).alias("name"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), ((F.col("s_suppkey") % 360) * 1.0 - 180).alias("yaw"))
+    return flight.rig(poses, flight.FIVE).select("name", "yaw", "pitch", "roll")
+
+
+@plan("""WITH l AS (SELECT s_suppkey AS id, (s_suppkey % 7) * 10e0 AS start, (s_suppkey % 5) * 12e0 AS stop, 5e0 AS step FROM supplier), n AS (SELECT *, abs(stop - start) AS length, CASE WHEN start = stop THEN 0 ELSE greatest(1, CAST(ceil(abs(stop - start) / step) AS INTEGER)) END AS c FROM l), p AS (SELECT *, CAST(unnest(range(c + 1)) AS INTEGER) AS position FROM n)
+SELECT id, position, start + CASE WHEN stop >= start THEN 1e0 ELSE -1e0 END * least(position * step, length) AS x FROM p""")
+def line_samples(spark, sf):
+    key = F.col("s_suppkey")
+    lines = table(spark, sf, "supplier").select(key.alias("id"), ((key % 7) * 10.0).alias("start"), ((key % 5) * 12.0).alias("stop"), F.lit(5.0).alias("step"))
+    return flight.line_samples(lines).select("id", "position", "x")
+
+
+# voxels
+
+@plan(f"WITH {V} SELECT DISTINCT mesh, CAST(floor(x / 10e0) AS INTEGER) AS ix, CAST(floor(z / 10e0) AS INTEGER) AS iz FROM vertices")
+def voxel_footprint(spark, sf):
+    return voxels.columns(voxels.from_points(A.vertices(spark, sf), 10.0))
+
+
+@plan(f"WITH {V} SELECT DISTINCT mesh, CAST(floor(x / 10e0) AS INTEGER) AS ix, 7 AS iy, CAST(floor(z / 10e0) AS INTEGER) AS iz FROM vertices")
+def voxel_ground_layer(spark, sf):
+    return voxels.ground_layer(voxels.from_points(A.vertices(spark, sf), 10.0), 9, 8)
+
+
+@plan("""WITH s AS (SELECT s_suppkey AS mesh, CAST(s_suppkey % 5 AS INTEGER) AS x1, CAST(s_suppkey % 7 AS INTEGER) AS y1, 3 AS z1, CAST(s_suppkey % 5 AS INTEGER) AS x2, CAST(CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey % 7 ELSE 9 - s_suppkey % 11 END AS INTEGER) AS y2, CASE WHEN s_suppkey % 4 = 0 THEN -2 ELSE 3 END AS z2 FROM supplier),
+y AS (SELECT *, unnest(generate_series(least(y1, y2), greatest(y1, y2))) AS iy FROM s), z AS (SELECT *, unnest(generate_series(least(z1, z2), greatest(z1, z2))) AS iz FROM y) SELECT DISTINCT mesh, x1 AS ix, CAST(iy AS INTEGER) AS iy, CAST(iz AS INTEGER) AS iz FROM z""")
+def voxel_line_fill(spark, sf):
+    key = F.col("s_suppkey")
+    small = lambda c: c.cast("int")
+    segments = table(spark, sf, "supplier").select(key.alias("mesh"), small(key % 5).alias("x1"), small(key % 7).alias("y1"), F.lit(3).alias("z1"), small(key % 5).alias("x2"), small(F.when(key % 4 == 0, key % 7).otherwise(9 - key % 11)).alias("y2"), F.when(key % 4 == 0, -2).otherwise(3).alias("z2"))
+    return voxels.lines(segments)
+
+
+# solids and topology: each part is a prism on a triangle or a square
+
+PRISM = """ring AS (SELECT p_partkey AS mesh, p_partkey % 2 + 3 AS n, p_size * 1e0 AS s, floor(p_retailprice) / 100 AS h FROM part),
+corners AS (SELECT mesh, n, s, h, unnest(range(n)) AS i FROM ring),
+flat AS (SELECT mesh, n, h, i, CASE WHEN i IN (1, 2) THEN s ELSE 0 END AS x, CASE WHEN (n = 3 AND i = 2) OR (n = 4 AND i >= 2) THEN s ELSE 0 END AS z FROM corners),
+pv AS (SELECT mesh, i AS vid, x, 0e0 AS y, z FROM flat UNION ALL SELECT mesh, i + n, x, h, z FROM flat)"""
+PEDGES = f"""{PRISM}, ends AS (SELECT mesh, n, i, (i + 1) % n AS k FROM corners),
+walls AS (SELECT mesh, i AS u, k AS v, 2 AS c FROM ends UNION ALL SELECT mesh, i + n, k + n, 2 FROM ends UNION ALL SELECT mesh, i, i + n, 2 FROM ends UNION ALL SELECT mesh, 1, 3, 2 FROM ring WHERE n = 4 UNION ALL SELECT mesh, 5, 7, 2 FROM ring WHERE n = 4)"""
+
+
+def _prisms(spark, sf):
+    s = F.col("p_size").cast("double")
+    point = lambda x, z: F.struct(x.alias("x"), z.alias("z"))
+    zero = F.lit(0.0)
+    triangle = F.array(point(zero, zero), point(s, zero), point(s, s))
+    square = F.array(point(zero, zero), point(s, zero), point(s, s), point(zero, s))
+    odd = F.col("p_partkey") % 2 == 1
+    triangles = F.when(odd, F.array(F.array(F.lit(3), F.lit(0), F.lit(1)), F.array(F.lit(1), F.lit(2), F.lit(3)))).otherwise(F.array(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("mesh"), F.when(odd, square).otherwise(triangle).alias("ring"), triangles.alias("triangles"), zero.alias("bottom"), (F.floor("p_retailprice") / 100).alias("height"))
+
+
+def _prism_vertices(spark, sf):
+    return solids.prism_vertices(_prisms(spark, sf)).withColumn("vid", F.col("vid").cast("long"))
+
+
+@plan(f"WITH {PRISM} SELECT mesh, vid, x, y, z FROM pv")
+def prism_vertices(spark, sf):
+    return _prism_vertices(spark, sf)
+
+
+@plan(f"WITH {PEDGES} SELECT mesh, count(*) AS edges, true AS watertight FROM walls GROUP BY mesh")
+def mesh_watertight(spark, sf):
+    return topology.watertight(solids.prism_faces(_prisms(spark, sf)))
+
+
+@plan(f"WITH {PRISM} SELECT mesh, CAST(count(*) FILTER (vid = 0 OR vid % 3 = 1) AS BIGINT) AS loose_points, CAST(1 AS BIGINT) AS loose_lines, true AS has_loose FROM (SELECT mesh, 100 + vid AS vid FROM pv WHERE vid < 3) GROUP BY mesh".replace("vid = 0 OR vid % 3 = 1", "vid < 101"))
+def loose_geometry(spark, sf):
+    faces = solids.prism_faces(_prisms(spark, sf))
+    v = _prism_vertices(spark, sf).select("mesh", "vid")
+    extra = v.where("vid < 3").select("mesh", (F.col("vid") + 100).alias("vid"))
+    wires = v.where("vid = 0").select("mesh", F.lit(101).alias("u"), F.lit(102).alias("v"))
+    return topology.loose(v.unionByName(extra), wires, faces)
+
+
+@plan("""WITH RECURSIVE e AS (SELECT c_nationkey AS mesh, c_custkey % 40 AS a, (c_custkey * 7 + 3) % 61 AS b FROM customer WHERE c_custkey % 5 = 0), n AS (SELECT mesh, a AS vid FROM e UNION SELECT mesh, b FROM e), d AS (SELECT mesh, a, b FROM e UNION SELECT mesh, b, a FROM e),
+r(mesh, vid, label) AS (SELECT mesh, vid, vid FROM n UNION SELECT r.mesh, d.b, r.label FROM r JOIN d ON r.mesh = d.mesh AND r.vid = d.a) SELECT mesh, vid, min(label) AS component FROM r GROUP BY mesh, vid""")
+def connected_components(spark, sf):
+    rows = table(spark, sf, "customer").where("c_custkey % 5 = 0")
+    faces = rows.select(F.col("c_nationkey").alias("mesh"), F.col("c_custkey").alias("fid"), F.array(F.col("c_custkey") % 40, (F.col("c_custkey") * 7 + 3) % 61).alias("idx"))
+    return topology.components(faces)
+
+
+@plan(f"WITH {PRISM}, f AS (SELECT mesh, 0 AS b FROM ring) SELECT mesh, n * 2 AS corners, CAST(n AS BIGINT) + CASE WHEN n = 4 THEN 4 ELSE 2 END AS faces FROM ring WHERE s > 0")
+def prism_faces(spark, sf):
+    f = solids.prism_faces(_prisms(spark, sf)).groupBy("mesh").agg(F.count("*").alias("faces"), (F.max(F.array_max("idx")) + 1).cast("long").alias("corners"))
+    return f.select("mesh", "corners", "faces")
+
+
+_FACES_IN = """WITH {0}, c AS (SELECT mesh, vid, x >= 0 AND x <= 20 AND y >= 0 AND y <= 5 AND z >= 0 AND z <= 20 AS inside FROM pv), w AS (SELECT mesh, n, i, (i + 1) % n AS k FROM corners), wf AS (SELECT w.mesh, w.i, {1}(c.inside) AS kept FROM w JOIN c ON c.mesh = w.mesh AND c.vid IN (w.i, w.k, w.i + w.n, w.k + w.n) GROUP BY w.mesh, w.i),
+t AS (SELECT mesh, unnest(CASE WHEN n = 3 THEN [[2, 1, 0], [3, 4, 5]] ELSE [[1, 0, 3], [3, 2, 1], [7, 4, 5], [5, 6, 7]] END) AS idx, n FROM ring), tk AS (SELECT mesh, row_number() OVER () AS r, idx FROM t), tf AS (SELECT tk.mesh, tk.r, {1}(c.inside) AS kept FROM tk JOIN c ON c.mesh = tk.mesh AND list_contains(tk.idx, c.vid) GROUP BY tk.mesh, tk.r)
+SELECT mesh, count(*) AS faces FROM (SELECT mesh FROM wf WHERE kept UNION ALL SELECT mesh FROM tf WHERE kept) GROUP BY mesh"""
+
+
+def _faces_in(spark, sf, rule):
+    f = solids.prism_faces(_prisms(spark, sf))
+    kept = tiling.faces_in_box(f, _prism_vertices(spark, sf), {"x": 0.0, "y": 0.0, "z": 0.0}, {"x": 20.0, "y": 5.0, "z": 20.0}, rule)
+    return kept.groupBy("mesh").agg(F.count("*").alias("faces"))
+
+
+@plan(_FACES_IN.format(PRISM, "bool_or"))
+def faces_in_cube_any(spark, sf):
+    return _faces_in(spark, sf, "any")
+
+
+@plan(_FACES_IN.format(PRISM, "bool_and"))
+def faces_in_cube_all(spark, sf):
+    return _faces_in(spark, sf, "all")
+
+
+@plan(f"WITH {PRISM}, e AS (SELECT a.mesh, a.i, a.x AS ax, a.z AS az, b.x AS bx, b.z AS bz FROM flat a JOIN flat b ON a.mesh = b.mesh AND b.i = (a.i + 1) % a.n), j AS (SELECT *, CAST(unnest(range(1, 4)) AS INTEGER) AS j FROM e) SELECT mesh, i, j, round(ax * (1 - j / 4e0) + bx * (j / 4e0), 6) AS x, 0e0 AS y, round(az * (1 - j / 4e0) + bz * (j / 4e0), 6) AS z FROM j")
+def edge_interpolation(spark, sf):
+    p = _prisms(spark, sf).select("mesh", "ring", F.posexplode("ring").alias("i", "p"))
+    q = F.get("ring", (F.col("i") + 1) % F.size("ring"))
+    edges = p.select("mesh", F.col("i").cast("long").alias("i"), F.col("p.x").alias("ax"), F.lit(0.0).alias("ay"), F.col("p.z").alias("az"), q["x"].alias("bx"), F.lit(0.0).alias("by"), q["z"].alias("bz"))
+    return rounded(topology.edge_points(edges, 3))
+
+
+@plan(f"WITH {PRISM} SELECT mesh, CASE WHEN n = 3 THEN s * s / 2 ELSE s * s END AS area FROM ring")
+def ring_area(spark, sf):
+    return solids.ring_areas(_prisms(spark, sf).withColumnRenamed("ring", "contour"))
+
+
+@plan(f"WITH {PRISM} SELECT mesh, CAST(0 AS BIGINT) AS component, h AS height, n + 1 AS points FROM ring WHERE s > 0")
+def bottom_contour(spark, sf):
+    f = topology.footprints(_prism_vertices(spark, sf), solids.prism_faces(_prisms(spark, sf)))
+    return f.select("mesh", "component", "height", F.size("contour").cast("long").alias("points"))
+
+
+@plan(f"WITH {PRISM}, o AS (SELECT mesh, mesh % 10 AS city, 2 * n AS c, sum(2 * n) OVER (PARTITION BY mesh % 10 ORDER BY mesh) - 2 * n AS off FROM ring) SELECT city, mesh, CAST(off AS BIGINT) AS first_vid, CAST(off + c - 1 AS BIGINT) AS last_vid FROM o")
+def merged_offsets(spark, sf):
+    city = (F.col("mesh") % 10).alias("city")
+    v, _ = solids.merged(_prism_vertices(spark, sf).select(city, "*"), solids.prism_faces(_prisms(spark, sf)).select(city, "*"), "city")
+    return v.groupBy("city", "mesh").agg(F.min("vid").alias("first_vid"), F.max("vid").alias("last_vid"))
+
+
+@plan(f"WITH {PRISM} SELECT mesh, CASE WHEN n = 3 THEN 9 ELSE 12 END AS edges FROM ring WHERE h > 0")
+def sharp_edge_counts(spark, sf):
+    v = _prism_vertices(spark, sf)
+    return topology.sharp_edges(v, solids.prism_faces(_prisms(spark, sf)), 15.0).groupBy("mesh").agg(F.count("*").cast("int").alias("edges"))
+
+
+@plan(f"WITH {V}, w AS (SELECT mesh, l_orderkey, round(x, 0) AS x, round(y, 0) AS y, round(z, 0) AS z FROM (SELECT l_suppkey AS mesh, l_orderkey, (l_suppkey % 10) * 50 + l_quantity AS x, l_discount * 100 * (1 + l_suppkey % 12) AS y, (l_suppkey // 10) * 100 + l_extendedprice / 1000 AS z FROM lineitem)) SELECT mesh, count(DISTINCT (x, y, z)) AS welded FROM w GROUP BY mesh")
+def weld_counts(spark, sf):
+    v = A.vertices(spark, sf).withColumn("vid", F.monotonically_increasing_id())
+    return topology.weld(v, 0).groupBy("mesh").agg(F.count_distinct("welded").alias("welded"))
+
+
+# kernels without SQL
+
+
+def _prism_triangles(spark, sf):
+    t = topology.triangles(solids.prism_faces(_prisms(spark, sf)).where("mesh % 50 = 1"))
+    v = _prism_vertices(spark, sf)
+    out = t.select("mesh", F.concat_ws("_", "fid", "part").alias("fid"), *[F.col("idx")[k].alias(f"v{p}") for k, p in enumerate("abc")])
+    for p in "abc":
+        out = out.join(v.select("mesh", F.col("vid").alias(f"v{p}"), *[F.col(a).alias(f"{p}{a}") for a in "xyz"]), ["mesh", f"v{p}"])
+    return out.select("mesh", "fid", *[f"{p}{a}" for p in "abc" for a in "xyz"])
+
+
+@plan()
+def fps_sample(spark, sf):
+    return clouds.farthest_points(A.points(spark, sf), 16)
+
+
+@plan()
+def surface_sample(spark, sf):
+    return clouds.surface_sample(_prism_triangles(spark, sf), 64)
+
+
+@plan()
+def jittered_sample(spark, sf):
+    return clouds.jitter(clouds.surface_sample(_prism_triangles(spark, sf), 16), (0.001, 0.005, 0.007, 0.01))
+
+
+@plan()
+def sdf_probe(spark, sf):
+    return clouds.signed_distance(clouds.space_points(spark, 2_000, 60.0), _prism_triangles(spark, sf).where("mesh = 1"))
+
+
+@plan()
+def sharp_sample(spark, sf):
+    v = _prism_vertices(spark, sf)
+    return topology.sharp_samples(v, topology.sharp_edges(v, solids.prism_faces(_prisms(spark, sf))), 32)
+
+
+@plan()
+def clipped_triangles(spark, sf):
+    return solids.clip_triangles(_prism_triangles(spark, sf), (0.0, 0.0, 0.0), (10.0, 5.0, 10.0))
+
+
+@plan()
+def triangulated_footprints(spark, sf):
+    entries = _prisms(spark, sf).select("mesh", F.transform("ring", lambda p: F.struct(p["x"].alias("x"), F.lit(0.0).alias("y"), p["z"].alias("z"))).alias("contour"), "height")
+    return solids.cleaned_footprints(entries)
+
+
+@plan()
+def voxel_surface(spark, sf):
+    return voxels.surface(voxels.from_triangles(_prism_triangles(spark, sf), 2.0), 2.0)
+
+
+@plan()
+def voxel_upward_fill(spark, sf):
+    t = _prism_triangles(spark, sf)
+    base = voxels.columns(voxels.from_triangles(t, 1.0))
+    return voxels.filled_columns(voxels.upward_hits(base, t, 1.0, 0.5), 1.0, 0)
