@@ -62,12 +62,12 @@ def comma_list(text: str) -> list[str]:
 
 def json_list(spark: SparkSession, path: str) -> DataFrame:
     """path of each entry of a JSON array of strings."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(F.from_json("value", "array<string>")).alias("path"))
 
 
 def _documents(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    return spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 CHUNK = "position array<double>, size double, building_indices array<int>, building_names array<string>, ground_indices array<int>, ground_names array<string>, index array<int>, z_offset double"

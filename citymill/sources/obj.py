@@ -13,7 +13,7 @@ AXES = ("x", "y", "z")
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.[oO][bB][jJ]") -> DataFrame:
     """path, line_no, value of every mesh file below a folder; whole files are read, so lines have numbers."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True)
     lines = F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value")
     return files.select(F.col("_metadata.file_path").alias("path"), "value").select("path", lines)
 
