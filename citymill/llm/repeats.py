@@ -38,8 +38,8 @@ from . import common
 LENGTH = 200
 GRAM = 24
 RUN = LENGTH - GRAM + 1
-HOT = 2_500
-SORTED_AT_ONCE = 1_000_000  # bytes; with one more anchor it stays below 2 ** 21, so that three names fit 63 bits
+SORTED_AT_ONCE = 200_000  # bytes; small strings sort faster as they stay in the processor's cache
+HOT = 5_000  # contexts of one anchor that join such a string: below 2 ** 21 bytes in all, so that three names fit 63 bits
 FILTER_WORDS = 1 << 21  # of 64 bits: 16 MB, whatever the input
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -59,7 +59,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     ones, twos, zeros = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3), np.arange(0, n, 3)
     sample = np.concatenate([ones, twos])
     triples = s[sample] << 42 | s[sample + 1] << 21 | s[sample + 2]
-    by_triple = np.argsort(triples, kind="stable")
+    by_triple = np.argsort(triples)
     new = np.diff(triples[by_triple], prepend=-1) != 0
     if new.all() or depth <= 3:
         ranked = by_triple
@@ -72,7 +72,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     near = lambda at: s[at] << 21 | rank[at + 1]  # noqa: E731  against suffixes at 1 modulo 3
     far = lambda at: s[at] << 42 | s[at + 1] << 21 | rank[at + 2]  # noqa: E731  against those at 2 modulo 3
     keys = near(zeros)
-    own = np.argsort(keys, kind="stable")
+    own = np.argsort(keys)
     zeros, keys = zeros[own], keys[own]
     ordered = sample[ranked]
     ordered = ordered[ordered < n]
@@ -82,7 +82,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     place[ordered] = np.arange(len(ordered))
     place[first] += np.searchsorted(keys, near(first))
     place[second] += np.searchsorted(far(zeros), far(second))
-    return np.argsort(place, kind="stable")
+    return np.argsort(place)
 
 
 def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
