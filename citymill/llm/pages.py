@@ -2,7 +2,7 @@
 
 1. Every page is read into a tree; each element's subtree is hashed together with its host.
 2. Spark counts, for each host, in how many different pages a subtree occurs; pages that are
-   copies of each other count once. Subtrees found in at least `MIN_PAGES` pages and in
+   copies of each other count once. Subtrees (of block elements, in articles of containers) found in at least `MIN_PAGES` pages and in
    `SHARE` of the host's pages are the site's template.
 3. Template subtrees are deleted, and so are menus, headers, footers, sidebars, notices,
    adverts, forms, scripts, styles and comments, told by their element, role, class or id.
@@ -59,6 +59,8 @@ CLOSED_BY = {
     "th": frozenset(["td", "th", "tr"]),
 }
 SCOPES = frozenset("ul ol dl table select article section div body html main aside nav footer header form".split())
+NEVER = frozenset("html head body meta article main".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr td th".split())
 SPACES = re.compile(r"[\s ]+")
 
 
@@ -73,6 +75,7 @@ class Node:
     last: int = -1
     hash: int = 0
     hidden: bool = False
+    content: bool = False  # in an article
 
 
 @dataclass
@@ -165,10 +168,15 @@ def host_of(url: str | None) -> str:
 
 
 def subtree_hashes(source: str, host: str, page: Page) -> list[int]:
-    """Signed 64-bit hash of (host, source of the element) for each element of the body."""
-    lead, out = f"{host}\0", []
-    for node in page.nodes[1:]:
-        if node.tag not in ("html", "head", "body", "meta"):
+    """Signed 64-bit hash of (host, source of the element) for each element that can be template.
+
+    Inline elements cannot, nor can single paragraphs of an article: a sentence that a site
+    repeats is content there, a container that it repeats is not.
+    """
+    lead, out, nodes = f"{host}\0", [], page.nodes
+    for node in nodes[1:]:
+        node.content = node.tag in ("article", "main") or nodes[node.parent].content
+        if node.tag not in NEVER and node.tag not in INLINE and not (node.content and node.tag in PARAGRAPHS):
             node.hash = xxhash.xxh64_intdigest(lead + SPACES.sub(" ", source[node.start : node.end])) - (1 << 63)
             out.append(node.hash)
     return out
@@ -178,7 +186,7 @@ def main_text(source: str, page: Page, template: set[int]) -> str:
     """Text of the blocks that stay, each with its white space as one space, joined by one space."""
     nodes = page.nodes
     for node in nodes:
-        node.hidden = node.dropped or node.parent >= 0 and nodes[node.parent].hidden or bool(template) and node.hash in template and node.tag not in ("article", "main")
+        node.hidden = node.dropped or node.parent >= 0 and nodes[node.parent].hidden or bool(template) and node.hash in template
     inside = [False] * len(nodes)
     for wanted in ("article", "main"):
         for k, node in enumerate(nodes):
