@@ -5,8 +5,8 @@
 2. Every row is placed in its leaf of each tree. Equal vectors are placed once, with the ids
    that can be among the nearest: one more than asked for, smallest first. That loses nothing.
 3. A query descends all trees through one priority queue, by the summed squares of the margins
-   it is on the wrong side of, until the leaves it has opened hold `share` of all placements of
-   one tree. Uniformly spread vectors, as in the test tables, need a large share; vectors that
+   it is on the wrong side of, until the leaves it has opened hold `share` times the placements of
+   one tree; as trees overlap, a share of 1 opens well under all vectors. Uniformly spread vectors, as in the test tables, need a large share; vectors that
    cluster need a small one.
 4. Leaves, cut into blocks of at most `BLOCK` vectors, meet the queries that opened them. A block
    returns each query's nearest few with exact cosines in double precision; the best of all
@@ -33,9 +33,12 @@ from . import common
 
 TREES = 8
 SAMPLE = 20_000
-SHARE = 0.75
+SHARE = 1.0
+LEAST_HELD = 2_048  # placements that a search opens at least
 LEAF = 4_096  # vectors in a leaf, about, once there are many
 LEAST_DEPTH = 7
+LEAST_LEAF = 4  # vectors of the sample in a leaf, about
+FEW = 64  # so many vectors are one leaf
 BLOCK = 8_192
 
 
@@ -148,7 +151,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES,
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     chosen = vectors.orderBy(F.xxhash64("ids"), "ids").limit(sample).select("vector").collect()  # at most `sample` vectors
     fitted = _unit(_matrix(pa.array([r.vector for r in chosen], pa.list_(pa.float64())), dimension))
-    depth = min(max(least_depth, math.ceil(math.log2(max(1, n / LEAF)))), max(0, int(math.log2(len(fitted)))))
+    depth = min(max(least_depth, math.ceil(math.log2(max(1, n / LEAF)))), int(math.log2(len(fitted) / LEAST_LEAF)) if n > FEW else 0)
     forest = context.broadcast(Forest(fitted, trees, depth))
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -176,7 +179,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, trees: int = TREES,
         takes, cells, parts = [], [], []
         table = shared.value.reshape(trees, -1)
         for row, vector in enumerate(matrix):
-            for tree, leaf in forest.value.search(vector, table, share * n):
+            for tree, leaf in forest.value.search(vector, table, max(share * n, LEAST_HELD)):
                 cell = (tree << depth) + leaf
                 for block in range(blocks.value[cell]):
                     takes.append(row)
