@@ -285,11 +285,14 @@ def _names(docs: DataFrame, key: str) -> DataFrame:
     return common.map_batches(docs.select("text"), work, "name string").distinct()
 
 
-def name_attempts(docs: DataFrame, key: str = KEY, exceptions: int = EXCEPTIONS) -> tuple[dict[str, int], int]:
-    """Attempts for the names whose surrogates would collide, and the syllables of a built name."""
-    names, width, attempts = _names(docs, key).checkpoint(), 5, {}
+def name_attempts(docs: DataFrame, key: str = KEY, exceptions: int = EXCEPTIONS, width: int = 5) -> tuple[dict[str, int], int]:
+    """Attempts for the names whose surrogates would collide, and the syllables of a built name.
+
+    Names get longer where more than `exceptions` collide or eight rounds leave collisions.
+    """
+    names, attempts, rounds = _names(docs, key).checkpoint(), {}, 0
     while True:
-        given = dict(attempts)
+        given, rounds = dict(attempts), rounds + 1
 
         def work(batch: pa.RecordBatch, given: dict = given, width: int = width) -> pa.RecordBatch:
             own = batch.column("name").to_pylist()
@@ -299,8 +302,8 @@ def name_attempts(docs: DataFrame, key: str = KEY, exceptions: int = EXCEPTIONS)
         again = ranked.where(F.col("rank") > 1).select("name").limit(exceptions + 1).collect()  # at most exceptions + 1 names
         if not again:
             return attempts, width
-        if len(again) > exceptions:
-            width, attempts = width + 1, {}
+        if len(again) > exceptions or rounds > 8:
+            width, attempts, rounds = width + 1, {}, 0
             continue
         for r in again:
             attempts[r.name] = attempts.get(r.name, 0) + 1
