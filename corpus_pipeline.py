@@ -61,8 +61,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = common.prepare(spark) and docs.select(*COLUMNS)
     keyed = docs.withColumn("_key", F.coalesce("doc_id", F.xxhash64("text", "source")))
     mixed = mixing.mix(keyed.select(F.col("_key").alias("doc_id"), "text", "source"))
-    given = mixed.groupBy(F.col("doc_id").alias("_key"), F.coalesce("source", F.lit("")).alias("_source"), F.col("source").isNull().alias("_null")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    taken = keyed.withColumn("_source", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull()).join(given.where("_copies > 0"), ["_key", "_source", "_null"])
+    given = mixed.groupBy(F.col("doc_id").alias("_key"), F.coalesce("source", F.lit("")).alias("_source"), F.col("source").isNull().alias("_null")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0").checkpoint()
+    taken = keyed.withColumn("_source", F.coalesce("source", F.lit(""))).withColumn("_null", F.col("source").isNull()).join(given, ["_key", "_source", "_null"])
+    repeated = given.where("_rows > 1")
+    if not repeated.limit(1).count():
+        return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*COLUMNS)
     one = taken.where("_rows = 1")
     order = Window.partitionBy("_key", "_source", "_null").orderBy("text", "lang", "n_chars")  # rows of one id and source only
     several = taken.where("_rows > 1").withColumn("_at", F.row_number().over(order)).withColumn("_copies", F.floor((F.col("_copies") + F.col("_rows") - F.col("_at")) / F.col("_rows")).cast("long")).drop("_at").where("_copies > 0")
