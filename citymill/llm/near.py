@@ -6,14 +6,18 @@
    in at least T coordinates, but for a chance of `MISS`; so two such texts share one of their
    (COORDINATES - T + 1) rarest postings. Only those prefixes are posted: postings that a single
    text has fill most prefixes up, and texts that only share a common passage drop out.
-3. Hub rounds: in each posting list one text is the hub. Each text of another component counts
+3. A hub round: in each posting list one text is the hub. Each text of another component counts
    the lists it shares with its hubs and is held against the one it meets most often. Links are
    confirmed on the full sets and merge components, so large groups shrink to one component
    after as many comparisons as they have members.
 4. Lists that still span several components are then merged in full: within blocks of texts in
    the order of set size, pairs of different components count their equal coordinates, skipping
-   partners whose size alone rules a link out; pairs at or above T are confirmed on full sets.
-   No pair is dropped, so every link between components is found.
+   partners whose size alone rules a link out. Their texts carry `WIDE` further coordinates,
+   which rule out most pairs below the similarity. A block returns links that span what it
+   found likely, not all pairs; the likely links part the texts into clusters.
+5. Each cluster, in pairs of blocks, holds every pair that is likely and not yet in one
+   component against its full sets, and returns links that span the confirmed ones. Two linked
+   texts are likely and so in one cluster; no pair is dropped, no list of pairs is shuffled.
 
 Null and empty texts have no shingle: n_shingles 0, a component of their own. A null doc_id
 takes no part: its component is null and it is kept. Very long texts are used whole. Rows that
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -38,8 +42,9 @@ from .components import smallest_labels
 from .markov import _chunks, hashes_of, tokens_of
 
 COORDINATES = 64
+WIDE = 256
 MISS = 1e-7
-HUB_ROUNDS = 3
+HUB_ROUNDS = 1
 BLOCK = 2_048
 BROADCAST_IDS = 1_000_000
 BYTES = 6  # of a shingle's hash that set comparisons carry
@@ -48,9 +53,9 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @functools.cache
-def multipliers() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7)
-    return rng.integers(1, 1 << 63, COORDINATES, np.uint64) | np.uint64(1), rng.integers(1, 1 << 63, COORDINATES, np.uint64)
+def multipliers(count: int = COORDINATES) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(count)
+    return rng.integers(1, 1 << 63, count, np.uint64) | np.uint64(1), rng.integers(1, 1 << 63, count, np.uint64)
 
 
 def least_matches(percent: int, coordinates: int = COORDINATES, miss: float = MISS) -> int:
@@ -87,13 +92,13 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.bincount(owner[new], minlength=len(lengths))
 
 
-def signatures(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """(texts with a shingle, COORDINATES): smallest value under each multiplier, 32 bits."""
+def signatures(hashes: np.ndarray, sizes: np.ndarray, count: int = COORDINATES) -> np.ndarray:
+    """(texts with a shingle, count): smallest value under each multiplier, 32 bits."""
     begins = (np.cumsum(sizes) - sizes)[sizes > 0]
-    factors, terms = multipliers()
-    out = np.zeros((len(begins), COORDINATES), np.uint32)
+    factors, terms = multipliers(count)
+    out = np.zeros((len(begins), count), np.uint32)
     if len(begins):
-        for k in range(COORDINATES):
+        for k in range(count):
             out[:, k] = np.minimum.reduceat((hashes * factors[k] + terms[k]) >> np.uint64(32), begins)
     return out
 
@@ -131,21 +136,32 @@ def _postings(reps: DataFrame, least: int) -> DataFrame:
     return own.where(F.size("cells") >= least).select("rep", F.explode(F.slice("cells", F.lit(1), F.lit(prefix) - alone)).alias("c")).select(F.col("c.cell").alias("cell"), "rep")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, text of the listed documents."""
+    ids = ids.distinct().checkpoint()
+    if ids.count() <= BROADCAST_IDS:  # ids only, 8 MB at most; else both sides are shuffled
+        ids = F.broadcast(ids)
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+
+
+def _members(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
+    """doc_id, members: the full set of each text, BYTES bytes a shingle."""
+    hashes, sizes = shingle_sets(batch.column("text"), size)
+    short = np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :BYTES])
+    ends = np.cumsum(sizes)
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([short[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())], ["doc_id", "members"])
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose full sets have the similarity."""
     pairs = pairs.checkpoint()
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct().checkpoint()
-    if wanted.count() <= BROADCAST_IDS:  # ids only, 8 MB at most; else both sides are shuffled
-        wanted = F.broadcast(wanted)
+    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _chunks(batches):
-            hashes, sizes = shingle_sets(batch.column("text"), size)
-            short = np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :BYTES])
-            ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([short[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())], ["doc_id", "members"])
+            yield _members(batch, size)
 
-    found = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(run, "doc_id long, members binary").dropDuplicates(["doc_id"])
+    found = _texts_of(docs, wanted).mapInArrow(run, "doc_id long, members binary").dropDuplicates(["doc_id"])
     one = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("members").alias("left")), "a")
     two = one.join(found.select(F.col("doc_id").alias("b"), F.col("members").alias("right")), "b")
 
@@ -195,36 +211,124 @@ def _hub_pairs(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return met.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("lists", (-F.col("hub")).alias("o"), "hub")).alias("m")).select("a", F.col("m.hub").alias("b"))
 
 
-def _remaining_pairs(postings: DataFrame, labels: DataFrame, reps: DataFrame, least: int, percent: int) -> DataFrame:
-    """(a, b): all pairs of different components in a list that agree in `least` coordinates; blocks of a list meet pairwise."""
-    placed, _ = _open_lists(postings, labels)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = placed.withColumn("own", own).withColumn("other", other).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    rows = dealt.join(reps.select("rep", "signature", "n_shingles"), "rep").select("cell", "low", "high", "own", "rep", "comp", "n_shingles", "signature")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+class Joined:
+    """Union-find over the places 0 .. n - 1, given which of them start out together."""
 
-    def meet(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("n_shingles", "ascending"), ("rep", "ascending")])
-        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        rep, comp, n, own = (table.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "own"))
-        apart = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-        a, b = [], []
-        last = np.searchsorted(n, n * 100 // percent, "right")  # larger sets cannot have the similarity
+    def __init__(self, together: np.ndarray):
+        first: dict[int, int] = {}
+        self.up = [first.setdefault(c, k) for k, c in enumerate(together.tolist())]
+
+    def root(self, k: int) -> int:
+        while self.up[k] != k:
+            self.up[k] = self.up[self.up[k]]
+            k = self.up[k]
+        return k
+
+    def join(self, a: int, b: int) -> bool:
+        """False if a and b were together already."""
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _blocks(rows: DataFrame, size: Column) -> DataFrame:
+    """rows with own, low and high: each row in every pair of blocks that has its own, for groups of `size` rows."""
+    blocks = F.ceil(size / BLOCK).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumn("low", F.least("own", "_other")).withColumn("high", F.greatest("own", "_other")).drop("_other")
+
+
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _links(pairs: list[tuple[int, int]], rep: np.ndarray) -> pa.Table:
+    a, b = (rep[[p[k] for p in pairs]] if pairs else [] for k in (0, 1))
+    return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_LINK)
+
+
+def _matrix(table: pa.Table, column: str, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind).reshape(-1, width)
+
+
+def _partners(table: pa.Table, percent: int) -> tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]:
+    """rep, and for each row the later rows, in the order of set size, that may be linked to it by size, block and component."""
+    rep, comp, n, own = (table.column(c).to_numpy() for c in ("rep", "comp", "n_shingles", "own"))
+    apart = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+    last = np.searchsorted(n, n * 100 // percent, "right")  # larger sets cannot have the similarity
+
+    def walk() -> Iterator[tuple[int, np.ndarray]]:
         for i in range(len(rep)):
             j = np.arange(i + 1, last[i])
-            j = j[comp[j] != comp[i]]
-            if apart:
-                j = j[own[j] != own[i]]
+            j = j[(comp[j] != comp[i]) & ((own[j] != own[i]) if apart else True)]
             if len(j):
-                j = j[(signs[j] == signs[i]).sum(1) >= least]
-                a.append(np.full(len(j), rep[i]))
-                b.append(rep[j])
-        return pa.Table.from_arrays([pa.array(np.concatenate(a) if a else [], pa.int64()), pa.array(np.concatenate(b) if b else [], pa.int64())], schema=schema)
+                yield i, j
 
-    found = rows.groupBy("cell", "low", "high").applyInArrow(meet, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rep, walk()
+
+
+def _clusters(postings: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """rep, cluster, wide of texts that have a likely link to another component."""
+    least, wide_least = least_matches(percent), least_matches(percent, WIDE)
+    placed, _ = _open_lists(postings, labels)
+    still = placed.select("rep").distinct().checkpoint()
+
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _chunks(batches):
+            hashes, sizes = shingle_sets(batch.column("text"), size)
+            signs = signatures(hashes, sizes, WIDE).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(sizes > 0)), pa.array([x.tobytes() for x in signs], pa.binary())], ["rep", "wide"])
+
+    wide = _texts_of(docs, still.select(F.col("rep").alias("doc_id"))).mapInArrow(widen, "rep long, wide binary").dropDuplicates(["rep"]).checkpoint()
+    known = reps.join(wide, "rep")
+    rows = _blocks(placed, F.col("n")).join(known, "rep").select("cell", "low", "high", "own", "rep", "comp", "n_shingles", "signature", "wide")
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n_shingles", "ascending"), ("rep", "ascending")])
+        signs, wides = _matrix(table, "signature", np.uint32, COORDINATES), _matrix(table, "wide", np.uint16, WIDE)
+        rep, partners = _partners(table, percent)
+        joined, found = Joined(np.arange(len(rep))), []
+        for i, j in partners:
+            j = j[(signs[j] == signs[i]).sum(1) >= least]
+            for k in j[(wides[j] == wides[i]).sum(1) >= wide_least].tolist():
+                if joined.join(i, k):
+                    found.append((i, k))
+        return _links(found, rep)
+
+    likely = rows.groupBy("cell", "low", "high").applyInArrow(meet, "a long, b long").distinct()
+    return smallest_labels(likely).select(F.col("node").alias("rep"), F.col("label").alias("cluster")).join(wide, "rep").checkpoint()
+
+
+def _cluster_links(clusters: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): confirmed links that span all confirmed links between components."""
+    least, wide_least = least_matches(percent), least_matches(percent, WIDE)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _chunks(batches):
+            yield _members(batch, size)
+
+    sets = _texts_of(docs, clusters.select(F.col("rep").alias("doc_id"))).mapInArrow(members, "doc_id long, members binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
+    counts = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
+    placed = _blocks(clusters.join(counts, "cluster"), F.col("n")).join(labels, "rep").join(reps, "rep").join(sets, "rep")
+
+    def confirm(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n_shingles", "ascending"), ("rep", "ascending")])
+        signs, wides = _matrix(table, "signature", np.uint32, COORDINATES), _matrix(table, "wide", np.uint16, WIDE)
+        own = [frozenset(np.frombuffer(m, f"V{BYTES}").tolist()) for m in table.column("members").to_pylist()]
+        rep, partners = _partners(table, percent)
+        joined, found = Joined(table.column("comp").to_numpy()), []
+        for i, j in partners:
+            j = j[(signs[j] == signs[i]).sum(1) >= least]
+            agree = (wides[j] == wides[i]).sum(1)
+            for k in j[np.argsort(-agree, kind="stable")][: (agree >= wide_least).sum()].tolist():
+                if joined.root(i) != joined.root(k):
+                    both = len(own[i] & own[k])
+                    if 100 * both >= percent * (len(own[i]) + len(own[k]) - both):
+                        joined.join(i, k)
+                        found.append((i, k))
+        return _links(found, rep)
+
+    rows = placed.select("cluster", "low", "high", "own", "rep", "comp", "n_shingles", "signature", "wide", "members")
+    return rows.groupBy("cluster", "low", "high").applyInArrow(confirm, "a long, b long")
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -238,13 +342,9 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, hub_rounds: int =
     labels = postings.select("rep").distinct().select("rep", F.col("rep").alias("comp")).checkpoint()
     for turn in range(hub_rounds):
         pairs = _agree(_hub_pairs(postings, labels, turn), ids, least)
-        links = _confirmed(pairs, docs, size, percent).checkpoint()
-        if not links.limit(1).count():
-            break
-        labels = _merged(labels, links)
-    links = _confirmed(_remaining_pairs(postings, labels, ids, least, percent), docs, size, percent).checkpoint()
-    if links.limit(1).count():
-        labels = _merged(labels, links)
+        labels = _merged(labels, _confirmed(pairs, docs, size, percent).checkpoint())
+    clusters = _clusters(postings, labels, ids, docs, size, percent)
+    labels = _merged(labels, _cluster_links(clusters, labels, ids, docs, size, percent).checkpoint())
     members = reps.select("key", "first").join(labels.select(F.col("rep").alias("first"), "comp"), "first", "left").select("key", F.coalesce("comp", "first").alias("comp"))
     named = members.select("key", F.col("comp").alias("component_id"))  # a label is its smallest member
     component = F.coalesce("component_id", "doc_id")
@@ -254,3 +354,20 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, hub_rounds: int =
 
 def op7_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(common.read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM met JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+r(id, label) AS (SELECT doc_id, doc_id FROM d UNION SELECT b.y, r.label FROM r JOIN both_ways b ON b.x = r.id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(label) AS component_id FROM r GROUP BY id) l ON l.id = d.doc_id
+"""
