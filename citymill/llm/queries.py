@@ -24,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL for the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
     "op3_rule_ledger": rules.OP3_SQL,
+    "op7_minhash_join": near.OP7_SQL,
 }
