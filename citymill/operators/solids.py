@@ -131,11 +131,14 @@ def prism_vertices(entries: DataFrame, key: str = "mesh") -> DataFrame:
 
 
 def prism_faces(entries: DataFrame, key: str = "mesh") -> DataFrame:
-    """key, fid, idx of a closed prism over a cleaned ring: its triangles as floor and roof, four corners for each wall."""
+    """key, fid, idx of a closed prism over a cleaned ring: its triangles as floor and roof, four corners for each wall.
+
+    The ring runs against the clock in (x, z); all faces then look outwards with y up.
+    """
     n = F.size("ring")
-    floor = F.transform("triangles", lambda t: F.array(t[2], t[1], t[0]))
-    roof = F.transform("triangles", lambda t: F.array(t[0] + n, t[1] + n, t[2] + n))
-    walls = F.transform("ring", lambda _, i: F.array(i, (i + 1) % n, (i + 1) % n + n, i + n))
+    floor = F.transform("triangles", lambda t: F.array(t[0], t[1], t[2]))
+    roof = F.transform("triangles", lambda t: F.array(t[2] + n, t[1] + n, t[0] + n))
+    walls = F.transform("ring", lambda _, i: F.array(i, i + n, (i + 1) % n + n, (i + 1) % n))
     return entries.where("size(triangles) > 0").select(key, F.posexplode(F.concat(floor, roof, walls)).alias("fid", "idx"))
 
 

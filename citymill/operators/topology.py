@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates, scalar
+from .grouping import codes_of, groups_of, map_groups
 
 
 def triangles(faces: DataFrame) -> DataFrame:
@@ -55,19 +56,18 @@ def weld(vertices: DataFrame, digits: int = 6) -> DataFrame:
     return keyed.select("mesh", "vid", F.min("vid").over(same).alias("welded"))
 
 
-def components(faces: DataFrame, size_limit: int = 5_000_000) -> DataFrame:
+def components(faces: DataFrame) -> DataFrame:
     """mesh, vid, component: vertices linked by faces, named by their smallest vid.
 
-    Meshes are independent, so each is one group and union-find runs within it.
+    Meshes are independent; union-find runs over the edges of many meshes at once.
     """
     ends = face_edges(faces).select("mesh", F.col("u").cast("long"), F.col("v").cast("long"))
     kind = faces.select("mesh").schema.simpleString()[7:-1]
 
     def join(table: pa.Table) -> pa.Table:
-        if table.num_rows > size_limit:
-            raise ValueError(f"a mesh has {table.num_rows} edges; the limit is {size_limit}")
-        u, v = table.column("u").to_numpy(), table.column("v").to_numpy()
-        ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        u, v, mesh = table.column("u").to_numpy(), table.column("v").to_numpy(), codes_of(table.column("mesh"))
+        ids, first, at = np.unique(np.column_stack([np.r_[mesh, mesh], np.r_[u, v]]), axis=0, return_index=True, return_inverse=True)
+        at = at.ravel()
         a, b, label = at[: len(u)], at[len(u) :], np.arange(len(ids))
         while True:
             least = np.minimum(label[a], label[b])
@@ -78,9 +78,10 @@ def components(faces: DataFrame, size_limit: int = 5_000_000) -> DataFrame:
             if (new == label).all():
                 break
             label = new
-        return pa.table({"mesh": pa.array([table.column("mesh")[0].as_py()] * len(ids), table.schema.field("mesh").type), "vid": ids, "component": ids[label]})
+        own = table.column("mesh").combine_chunks().take(pa.array(first % len(u)))
+        return pa.table({"mesh": own, "vid": pa.array(ids[:, 1]), "component": pa.array(ids[label, 1])})
 
-    return ends.groupBy("mesh").applyInArrow(join, f"{kind}, vid long, component long")
+    return map_groups(ends, "mesh", join, f"{kind}, vid long, component long")
 
 
 def bottom_edges(vertices: DataFrame, faces: DataFrame, eps: float = predicates.EPS) -> DataFrame:
@@ -112,8 +113,7 @@ def footprints(vertices: DataFrame, faces: DataFrame, eps: float = predicates.EP
     kind = vertices.select("mesh").schema["mesh"].dataType.simpleString()
     point = pa.struct([("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64())])
 
-    def walk(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
+    def walk(rows: list[dict]) -> dict:
         place, after = {}, {}
         for r in rows:
             place[r["u"]], place[r["v"]] = r["pu"], r["pv"]
@@ -131,10 +131,14 @@ def footprints(vertices: DataFrame, faces: DataFrame, eps: float = predicates.EP
                     break
             rings.append([place[v] for v in ring])
         area = lambda ring: abs(sum(p["x"] * q["z"] - q["x"] * p["z"] for p, q in zip(ring, ring[1:], strict=False)))
-        key = rows[0]["mesh"]
-        return pa.table({"mesh": pa.array([key["mesh"]], table.schema.field("mesh").type.field("mesh").type), "component": pa.array([key["component"]], pa.int64()), "height": pa.array([rows[0]["height"]], pa.float64()), "contour": pa.array([max(rings, key=area)], pa.list_(point))})
+        return {**rows[0]["mesh"], "height": rows[0]["height"], "contour": max(rings, key=area)}
 
-    return rows.groupBy("mesh").applyInArrow(walk, f"mesh {kind}, component long, height double, contour array<struct<x:double,y:double,z:double>>")
+    def walks(table: pa.Table) -> pa.Table:
+        own = table.schema.field("mesh").type.field("mesh").type
+        found = [walk(part.to_pylist()) for part in groups_of(table, "mesh")]
+        return pa.Table.from_pylist(found, schema=pa.schema([("mesh", own), ("component", pa.int64()), ("height", pa.float64()), ("contour", pa.list_(point))]))
+
+    return map_groups(rows, "mesh", walks, f"mesh {kind}, component long, height double, contour array<struct<x:double,y:double,z:double>>")
 
 
 def sharp_edges(vertices: DataFrame, faces: DataFrame, degrees: float = 15.0) -> DataFrame:

@@ -290,3 +290,13 @@ def test_stream_measures_each_file_once(spark, tmp_path):
     assert run() == ["a.obj"]
     (tmp_path / "in/b.obj").write_text("vn 1 1 1\n")
     assert run() == run() == ["a.obj", "b.obj"]
+
+
+def test_prism_faces_look_outwards(spark):
+    ring = [{"x": 0.0, "z": 0.0}, {"x": 2.0, "z": 0.0}, {"x": 2.0, "z": 2.0}, {"x": 0.0, "z": 2.0}]
+    entries = spark.createDataFrame([(1, ring, [[3, 0, 1], [1, 2, 3]], 0.0, 2.0)], "mesh int, ring array<struct<x:double,z:double>>, triangles array<array<int>>, bottom double, height double")
+    v, f = solids.prism_vertices(entries), solids.prism_faces(entries)
+    t = corner_triangles(v, f).collect()
+    volume = sum(np.linalg.det([[r.ax, r.ay, r.az], [r.bx, r.by, r.bz], [r.cx, r.cy, r.cz]]) for r in t) / 6
+    assert volume == pytest.approx(8.0)
+    assert clouds.signed_distance(spark.createDataFrame([(0, 1.0, 1.0, 1.0)], "pid int, x double, y double, z double"), corner_triangles(v, f)).first().sdf == pytest.approx(-1.0)
