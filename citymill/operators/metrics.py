@@ -16,9 +16,9 @@ def _bounds() -> list[Column]:
     return [f(known(a)).alias(f"{n}_{a}") for a in AXES for n, f in (("min", F.min), ("max", F.max))]
 
 
-def bounds(vertices: DataFrame, key: str = "mesh") -> DataFrame:
-    """key, min and max of x, y and z: one shuffle of partial bounds."""
-    return vertices.groupBy(key).agg(*_bounds())
+def bounds(vertices: DataFrame, key: str = "mesh", more: tuple[Column, ...] = ()) -> DataFrame:
+    """key, min and max of x, y and z, and more aggregates: one shuffle of partial results."""
+    return vertices.groupBy(key).agg(*more, *_bounds())
 
 
 def bounds_with_summary(vertices: DataFrame, key: str = "mesh") -> DataFrame:

@@ -75,8 +75,7 @@ def obj_height_counts(spark, sf):
 
 @plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(value, 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, {BOX} FROM v WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL GROUP BY path")
 def obj_parse_strict(spark, sf):
-    v = obj.strict_vertices(A.obj_lines(spark, sf))
-    return v.groupBy("path").agg(F.count("*").alias("n")).join(metrics.bounds(v, "path"), "path")
+    return metrics.bounds(obj.strict_vertices(A.obj_lines(spark, sf)), "path", (F.count("*").alias("n"),))
 
 
 @plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(value, 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, max(y) - min(y) AS height FROM v WHERE y IS NOT NULL GROUP BY path")
@@ -86,8 +85,7 @@ def obj_parse_height(spark, sf):
 
 @plan(f"WITH {A.OBJ_LINES_SQL}, {TOKENS}, v AS (SELECT path, {PARSED} FROM tok WHERE starts_with(ltrim(value), 'v ') AND len(t) >= 4) SELECT path, count(*) AS n, {BOX} FROM v GROUP BY path HAVING NOT bool_or(x IS NULL OR y IS NULL OR z IS NULL)")
 def obj_parse_lenient(spark, sf):
-    v = obj.lenient_vertices(A.obj_lines(spark, sf))
-    return v.groupBy("path").agg(F.count("*").alias("n")).join(metrics.bounds(v, "path"), "path")
+    return obj.lenient_bounds(A.obj_lines(spark, sf))
 
 
 @plan(f"WITH {A.OBJ_LINES_SQL} SELECT path, bool_or(starts_with(value, 'v ')) AS has_vertices FROM obj_lines GROUP BY path")

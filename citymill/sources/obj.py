@@ -32,12 +32,25 @@ def vertex_heights(lines: DataFrame) -> DataFrame:
     return rows.select("path", scalar.number(F.col("_p")[2]).alias("y")).where("y IS NOT NULL")
 
 
-def lenient_vertices(lines: DataFrame) -> DataFrame:
-    """path, line_no, x, y, z of lines that begin with 'v ' after any indent; a file with an unreadable number is dropped whole."""
+def lenient_numbers(lines: DataFrame) -> DataFrame:
+    """path, line_no, x, y, z of lines that begin with 'v ' after any indent; null where a number is unreadable."""
     rows = lines.where(F.ltrim("value").startswith("v ")).withColumn("_p", F.split(F.trim("value"), r"\s+")).where(F.size("_p") >= 4)
-    numbers = rows.select("path", "line_no", *[scalar.number(F.col("_p")[k + 1]).alias(a) for k, a in enumerate(AXES)])
-    bad = numbers.groupBy("path").agg(F.bool_or(F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()).alias("bad")).where("bad").select("path")
-    return numbers.join(bad, "path", "left_anti")
+    return rows.select("path", "line_no", *[scalar.number(F.col("_p")[k + 1]).alias(a) for k, a in enumerate(AXES)])
+
+
+UNREADABLE = "x IS NULL OR y IS NULL OR z IS NULL"
+
+
+def lenient_vertices(lines: DataFrame) -> DataFrame:
+    """lenient_numbers without the files that have an unreadable number."""
+    numbers = lenient_numbers(lines)
+    return numbers.join(numbers.where(UNREADABLE).select("path").distinct(), "path", "left_anti")
+
+
+def lenient_bounds(lines: DataFrame) -> DataFrame:
+    """path, n and bounds of the files of lenient_vertices, in one pass."""
+    found = metrics.bounds(lenient_numbers(lines), "path", (F.count("*").alias("n"), F.bool_or(F.expr(UNREADABLE)).alias("_bad")))
+    return found.where("NOT _bad").drop("_bad")
 
 
 def has_vertices(lines: DataFrame) -> DataFrame:
