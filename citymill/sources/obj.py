@@ -19,11 +19,14 @@ def read_lines(spark: SparkSession, path: str, glob: str = "*.[oO][bB][jJ]") ->
 
 
 def strict_vertices(lines: DataFrame) -> DataFrame:
-    """path, line_no, x, y, z of lines that begin with 'v ' and have three readable numbers; others are skipped."""
-    parts = F.split(F.trim("value"), r"\s+")
-    rows = lines.where(F.col("value").startswith("v ")).withColumn("_p", parts).where(F.size("_p") >= 4)
-    numbers = rows.select("path", "line_no", *[scalar.number(F.col("_p")[k + 1]).alias(a) for k, a in enumerate(AXES)])
-    return numbers.where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")
+    """path, line_no, x, y, z of lines that begin with 'v ' and have three readable numbers; others are skipped.
+
+    The numbers are one array, so the filter, which is pushed below the projection, splits a line
+    once and not once for each number.
+    """
+    numbers = F.filter(F.transform(F.slice(F.split(F.trim("value"), r"\s+"), 2, 3), scalar.number), lambda n: n.isNotNull())
+    rows = lines.where(F.col("value").startswith("v ")).select("path", "line_no", numbers.alias("_n")).where(F.size("_n") == 3)
+    return rows.select("path", "line_no", *[F.col("_n")[k].alias(a) for k, a in enumerate(AXES)])
 
 
 def vertex_heights(lines: DataFrame) -> DataFrame:
