@@ -27,4 +27,5 @@ def measure(lines: DataFrame, threshold: float, out: str, checkpoint: str) -> St
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """Counts and sums of events (ts, event_type, value) in windows of event time; later ones than `late` are dropped."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks take no time without a zone
+    return timed.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

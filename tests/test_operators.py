@@ -300,3 +300,36 @@ def test_prism_faces_look_outwards(spark):
     volume = sum(np.linalg.det([[r.ax, r.ay, r.az], [r.bx, r.by, r.bz], [r.cx, r.cy, r.cz]]) for r in t) / 6
     assert volume == pytest.approx(8.0)
     assert clouds.signed_distance(spark.createDataFrame([(0, 1.0, 1.0, 1.0)], "pid int, x double, y double, z double"), corner_triangles(v, f)).first().sdf == pytest.approx(-1.0)
+
+
+def test_list_predicates(spark):
+    from citymill.functions import predicates as p
+
+    row = spark.createDataFrame([([1, 2, 9], [2, 9], [5])], "items array<int>, inside array<int>, outside array<int>").select(
+        p.any_target(F.col("items"), F.col("inside")).alias("a"),
+        p.any_target(F.col("items"), F.col("outside")).alias("b"),
+        p.all_targets(F.col("items"), F.col("inside")).alias("c"),
+        p.other_than_targets(F.col("items"), F.col("inside")).alias("d"),
+        p.other_than_targets(F.col("inside"), F.col("items")).alias("e"),
+        p.valid_indices(F.col("items"), F.lit(3)).alias("f"),
+        p.strict_superset(F.col("items"), F.col("inside")).alias("g"),
+        p.strict_superset(F.col("items"), F.col("items")).alias("h"),
+    )
+    assert list(row.first()) == [True, False, True, True, False, [1, 2], True, False]
+
+
+def test_outputs_that_are_there_are_not_made_again(spark):
+    inputs = spark.createDataFrame([("a",), ("b",), ("c",)], "path string")
+    outputs = spark.createDataFrame([("a", 10), ("b", 0)], "path string, length int")
+    assert {r.path for r in files.todo(inputs, outputs).collect()} == {"c"}
+    assert {r.path for r in files.todo(inputs, outputs, least_bytes=1).collect()} == {"b", "c"}
+    paths = files.output_paths(spark.createDataFrame([("x/3_4_0/m.obj",)], "path string"), "out").first()
+    assert paths[1:] == ("out/sharp/3_4_0/m.ply", "out/points/3_4_0/m.npz", "out/normal/3_4_0/m.obj")
+
+
+def test_late_events_are_windowed(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
+    query = incremental.windowed_counts(stream).writeStream.outputMode("complete").format("memory").queryName("windows").trigger(availableNow=True).option("checkpointLocation", str(tmp_path)).start()
+    query.awaitTermination()
+    assert spark.table("windows").agg(F.sum("n")).first()[0] == events.count()
