@@ -46,7 +46,7 @@ class PieceEncoder:
     rank, so all splits of a token into two tokens are listed as merges, in rank order.
     """
 
-    def __init__(self, path: str, pattern: str, most: int = 300_000, step_chars: int = 1_000_000):
+    def __init__(self, path: str, pattern: str, most: int = 60_000, step_chars: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         import regex
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -104,6 +104,17 @@ class PieceEncoder:
         return b"".join([self.bytes_of[i] for i in ids])
 
 
+class IdEncoder(PieceEncoder):
+    """Keeps the ids of each piece only."""
+
+    def kept(self, encoding) -> object:
+        return encoding.ids
+
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
+        for parts in self.known(texts):
+            yield [i for ids in parts for i in ids], []
+
+
 class DigestEncoder(PieceEncoder):
     """Keeps, for each piece, the number of ids, their decimal text and the bytes they decode to."""
 
@@ -111,9 +122,8 @@ class DigestEncoder(PieceEncoder):
         return len(encoding.ids), ",".join(map(str, encoding.ids)), self.decode(encoding.ids)
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(path: str, pattern: str, kind: type[PieceEncoder] = PieceEncoder) -> PieceEncoder:
-    """One encoder for each Python worker."""
+    """A new encoder, for one task: it takes a third of a second to build, and goes with its task."""
     return kind(path, pattern)
 
 
@@ -128,8 +138,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
     second = ("round_trip", "boolean", pa.bool_()) if checked else ("decoded", "binary", pa.binary())
     schema = f"`{id_column}` {kind}, ids array<int>, {second[0]} {second[1]}" + (", starts array<int>, ends array<int>" if offsets else "")
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = encoder(path, pattern)
+    def work(batch: pa.RecordBatch, own: PieceEncoder) -> pa.RecordBatch:
         columns: list[list] = [[], [], [], []]
         texts = common.texts_of(batch, text_column)
         for text, (ids, spans) in zip(texts, own.encode(texts), strict=True):
@@ -142,21 +151,31 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
         kinds = (pa.list_(pa.int32()), second[2], pa.list_(pa.int32()), pa.list_(pa.int32()))[: 4 if offsets else 2]
         return pa.RecordBatch.from_arrays([batch.column(id_column), *map(pa.array, columns, kinds)], [id_column, "ids", second[0], "starts", "ends"][: 5 if offsets else 3])
 
-    return common.map_batches(docs.select(id_column, text_column), work, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern, PieceEncoder if offsets else IdEncoder)
+        for batch in common.slices(batches):
+            yield work(batch, own)
+
+    return docs.select(id_column, text_column).mapInArrow(common.lean(run), schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 by the same encoder, without carrying ids through Spark."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(batch: pa.RecordBatch, own: DigestEncoder) -> pa.RecordBatch:
         counts, ids_sha, decoded_sha = [], [], []
-        for parts in encoder(path, pattern, DigestEncoder).known(common.texts_of(batch, "text")):
+        for parts in own.known(common.texts_of(batch, "text")):
             counts.append(sum([n for n, _, _ in parts]))
             ids_sha.append(common.sha256_hex(",".join([t for _, t, _ in parts]).encode()))
             decoded_sha.append(common.sha256_hex(b"".join([b for _, _, b in parts])))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return common.map_batches(docs.select("doc_id", "text"), work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern, DigestEncoder)
+        for batch in common.slices(batches):
+            yield work(batch, own)
+
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def vocabulary() -> tuple[str, str]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 import os
 import re
@@ -9,7 +12,9 @@ import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,15 +59,50 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _release() -> None:
+    """Gives freed memory back to the system: Python workers stay for later stages, their heaps should not."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and then its memory is released, at the end of each task."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return own
+
+
+def slices(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their text or html has about so many bytes; a longer text is a batch of its own."""
+    for batch in batches:
+        name = next((n for n in ("text", "html") if n in batch.schema.names), None)
+        if name is None:
+            yield batch
+            continue
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + chars, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Applies work to each Arrow batch; one batch is held at a time."""
+    """Applies work to each Arrow batch, cut by the length of its texts; one is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             if batch.num_rows and (out := work(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:

@@ -134,7 +134,7 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([sorted(set(x))[:keep] for x in found.values()], pa.list_(pa.int64())), pa.array(list(map(list, found)), pa.list_(pa.float64()))], ["ids", "vector"])
 
     smallest = F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids")
-    partial = rows.mapInArrow(combine, "ids array<long>, vector array<double>")
+    partial = rows.mapInArrow(common.lean(combine), "ids array<long>, vector array<double>")
     salted = partial.groupBy("vector", F.pmod(F.xxhash64("ids"), F.lit(64)).alias("salt")).agg(smallest)
     return salted.groupBy("vector").agg(smallest)
 

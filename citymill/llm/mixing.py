@@ -114,7 +114,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
     while True:
         chance = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "doc_id", "source", "size"), F.lit(1 << 40)) / float(1 << 40)
         dealt = state.withColumn("u", chance).repartition("bucket").sortWithinPartitions("bucket", "source", F.desc("size"), "doc_id")
-        state = dealt.mapInArrow(_settle, f"{_STATE}, u double").drop("u").checkpoint()
+        state = dealt.mapInArrow(common.lean(_settle), f"{_STATE}, u double").drop("u").checkpoint()
         open_ = (F.col("p") > 0) & (F.col("p") < 1)
         settled.append(state.where(~open_))
         state = state.where(open_)

@@ -45,7 +45,8 @@ COORDINATES = 64
 WIDE = 256
 MISS = 1e-7
 HUB_ROUNDS = 1
-BLOCK = 2_048
+BLOCK = 1_024
+CHARS = 3_000_000  # of texts in work at once
 BROADCAST_IDS = 1_000_000
 BYTES = 6  # of a shingle's hash that set comparisons carry
 
@@ -107,7 +108,7 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, key (of the whole set; null if empty), signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, CHARS):
             hashes, sizes = shingle_sets(batch.column("text"), size)
             signs, ends = signatures(hashes, sizes), np.cumsum(sizes)
             keys, signed, row = [], [], 0
@@ -117,7 +118,7 @@ def _sketch(docs: DataFrame, size: int) -> DataFrame:
                 row += n > 0
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], ["doc_id", "n_shingles", "key", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, key binary, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(common.lean(run), "doc_id long, n_shingles long, key binary, signature binary")
 
 
 def _postings(reps: DataFrame, least: int) -> DataFrame:
@@ -152,16 +153,23 @@ def _members(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([short[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())], ["doc_id", "members"])
 
 
+def _numbers(members: bytes) -> np.ndarray:
+    """A packed set as sorted numbers."""
+    wide = np.zeros((len(members) // BYTES, 8), np.uint8)
+    wide[:, :BYTES] = np.frombuffer(members, np.uint8).reshape(-1, BYTES)
+    return np.sort(wide.view(np.uint64).ravel())
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ids whose full sets have the similarity."""
     pairs = pairs.checkpoint()
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, CHARS):
             yield _members(batch, size)
 
-    found = _texts_of(docs, wanted).mapInArrow(run, "doc_id long, members binary").dropDuplicates(["doc_id"])
+    found = _texts_of(docs, wanted).mapInArrow(common.lean(run), "doc_id long, members binary").dropDuplicates(["doc_id"])
     one = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("members").alias("left")), "a")
     two = one.join(found.select(F.col("doc_id").alias("b"), F.col("members").alias("right")), "b")
 
@@ -273,12 +281,12 @@ def _clusters(postings: DataFrame, labels: DataFrame, reps: DataFrame, docs: Dat
     still = placed.select("rep").distinct().checkpoint()
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, CHARS):
             hashes, sizes = shingle_sets(batch.column("text"), size)
             signs = signatures(hashes, sizes, WIDE).astype(np.uint16)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").filter(pa.array(sizes > 0)), pa.array([x.tobytes() for x in signs], pa.binary())], ["rep", "wide"])
 
-    wide = _texts_of(docs, still.select(F.col("rep").alias("doc_id"))).mapInArrow(widen, "rep long, wide binary").dropDuplicates(["rep"]).checkpoint()
+    wide = _texts_of(docs, still.select(F.col("rep").alias("doc_id"))).mapInArrow(common.lean(widen), "rep long, wide binary").dropDuplicates(["rep"]).checkpoint()
     known = reps.join(wide, "rep")
     rows = _blocks(placed, F.col("n")).join(known, "rep").select("cell", "low", "high", "own", "rep", "comp", "n_shingles", "signature", "wide")
 
@@ -303,17 +311,17 @@ def _cluster_links(clusters: DataFrame, labels: DataFrame, reps: DataFrame, docs
     least, wide_least = least_matches(percent), least_matches(percent, WIDE)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _chunks(batches):
+        for batch in _chunks(batches, CHARS):
             yield _members(batch, size)
 
-    sets = _texts_of(docs, clusters.select(F.col("rep").alias("doc_id"))).mapInArrow(members, "doc_id long, members binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
+    sets = _texts_of(docs, clusters.select(F.col("rep").alias("doc_id"))).mapInArrow(common.lean(members), "doc_id long, members binary").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep")
     counts = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     placed = _blocks(clusters.join(counts, "cluster"), F.col("n")).join(labels, "rep").join(reps, "rep").join(sets, "rep")
 
     def confirm(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n_shingles", "ascending"), ("rep", "ascending")])
         signs, wides = _matrix(table, "signature", np.uint32, COORDINATES), _matrix(table, "wide", np.uint16, WIDE)
-        own = [frozenset(np.frombuffer(m, f"V{BYTES}").tolist()) for m in table.column("members").to_pylist()]
+        own = [_numbers(m) for m in table.column("members").to_pylist()]
         rep, partners = _partners(table, percent)
         joined, found = Joined(table.column("comp").to_numpy()), []
         for i, j in partners:
@@ -321,7 +329,7 @@ def _cluster_links(clusters: DataFrame, labels: DataFrame, reps: DataFrame, docs
             agree = (wides[j] == wides[i]).sum(1)
             for k in j[np.argsort(-agree, kind="stable")][: (agree >= wide_least).sum()].tolist():
                 if joined.root(i) != joined.root(k):
-                    both = len(own[i] & own[k])
+                    both = int((own[i][np.minimum(np.searchsorted(own[i], own[k]), len(own[i]) - 1)] == own[k]).sum())
                     if 100 * both >= percent * (len(own[i]) + len(own[k]) - both):
                         joined.join(i, k)
                         found.append((i, k))

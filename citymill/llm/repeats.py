@@ -220,7 +220,7 @@ def _occurrences(docs: DataFrame, some: Broadcast, mixed: Broadcast) -> DataFram
             if columns[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return docs.select("text").mapInArrow(run, "text_key binary, anchor long, content long, begin int, n int, bytes binary")
+    return docs.select("text").mapInArrow(common.lean(run), "text_key binary, anchor long, content long, begin int, n int, bytes binary")
 
 
 def _sorted_flags(contexts: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def _sorted_flags(contexts: DataFrame) -> DataFrame:
         if held and (done := settle(held)) is not None:
             yield done
 
-    return contexts.select("anchor", "content", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "anchor long, content long, flags binary")
+    return contexts.select("anchor", "content", "bytes").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(common.lean(run), "anchor long, content long, flags binary")
 
 
 def _counted_flags(contexts: DataFrame) -> DataFrame:

@@ -214,7 +214,7 @@ def document_frequency(docs: DataFrame, chosen: dict[str, int]) -> tuple[np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["term", "n"])
 
     frequency = np.zeros(len(chosen) + 1, np.int64)
-    for row in docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row for each term
+    for row in docs.select("text").mapInArrow(common.lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row for each term
         frequency[row.term] = row.n
     return frequency[:-1], int(frequency[-1])
 
