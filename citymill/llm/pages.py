@@ -2,7 +2,7 @@
 
 1. Every page is read into a tree; each element's subtree is hashed together with its host.
 2. Spark counts, for each host, in how many different pages a subtree occurs; pages that are
-   copies of each other count once. Subtrees (of block elements, in articles of containers) found in at least `MIN_PAGES` pages and in
+   copies of each other (the same text throughout and the same subtrees) count once. Subtrees (of block elements, in articles of containers) found in at least `MIN_PAGES` pages and in
    `SHARE` of the host's pages are the site's template.
 3. Template subtrees are deleted, and so are menus, headers, footers, sidebars, notices,
    adverts, forms, scripts, styles and comments, told by their element, role, class or id.
@@ -200,6 +200,11 @@ def main_text(source: str, page: Page, template: set[int]) -> str:
     return SPACES.sub(" ", blocks).strip(" ")
 
 
+def whole_text(page: Page) -> str:
+    """All text of a page, that of paragraphs in articles too, which have no subtree of their own."""
+    return SPACES.sub(" ", "".join(" " if text is None else text for text, _ in page.runs))
+
+
 def _template(pages: DataFrame, min_pages: int, share: float) -> DataFrame:
     """hash of the subtrees that recur in a host's pages."""
 
@@ -207,10 +212,11 @@ def _template(pages: DataFrame, min_pages: int, share: float) -> DataFrame:
         hosts, copies, hashes = [], [], []
         for url, source in zip(batch.column("url").to_pylist(), common.texts_of(batch, "html"), strict=True):
             host = host_of(url)
-            found = subtree_hashes(source, host, parse(source))
+            page = parse(source)
+            found = sorted(set(subtree_hashes(source, host, page)))
             hosts.append(xxhash.xxh64_intdigest(host) - (1 << 63))
-            copies.append(xxhash.xxh64_intdigest(repr(sorted(set(found)))) - (1 << 63))
-            hashes.append(sorted(set(found)))
+            copies.append(xxhash.xxh64_intdigest(f"{found}\0{whole_text(page)}") - (1 << 63))
+            hashes.append(found)
         return pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(copies, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], ["host", "copy", "hashes"])
 
     found = common.map_batches(pages.select("url", "html"), work, "host long, copy long, hashes array<long>").dropDuplicates(["host", "copy"])

@@ -72,6 +72,16 @@ def test_recurring_subtree_goes_where_it_recurs(spark):
     assert {r.text for r in pages.extract(spark.createDataFrame(copies, "page_id long, url string, html string")).collect()} == {"a copied page subscribe now"}
 
 
+def test_pages_that_differ_only_in_paragraphs_of_articles_are_different(spark):
+    body = "<html><body><nav>n</nav><article><h1>Title {0}</h1><p>own text {0}</p><div class='box'>same words</div></article><footer>f</footer></body></html>"
+    rows = [(i, "http://a/x", body.format(i)) for i in range(20)] + [(20 + i, "http://b/x", body.format("b")) for i in range(20)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (10**6, 0):
+        got = {r.page_id: r.text for r in pages.extract(table, broadcast_rows=limit).collect()}
+        assert [got[i] for i in range(20)] == [f"Title {i} own text {i}" for i in range(20)]
+        assert {got[i] for i in range(20, 40)} == {"Title b own text b same words"}  # copies of one page are no template
+
+
 @pytest.mark.parametrize("html", ["<", "<p", "a < b", "<div><p>x</div>y</p>", "<p a='>'>x", "<p a=\"", "<!-- x", "<script>x", "&am &#65; &nbsp;b"])
 def test_broken_markup_is_read(html):
     assert isinstance(pages.main_text(html, pages.parse(html), set()), str)
