@@ -1,22 +1,24 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine in a block-max index.
+"""Toxicity from the nearest labelled examples by exact weighted TF-IDF cosine over all their words.
 
 1. Examples: at most `SAMPLE` labelled training rows, by a hash of their id; near copies among
    them (an equal coordinate of a small MinHash) count once.
-2. Terms: words and word beginnings whose share of toxic examples stands out (log-likelihood
-   ratio of at least `GAIN`, and `LIFT` times as common there); at most `TERMS` of them.
-3. Document frequencies of those terms come from all documents, not from the sample.
-4. The examples' normalised TF-IDF vectors are posted by term in blocks of `BLOCK` examples,
-   each with its largest weight. A text visits blocks from the highest bound down and stops at
-   the first bound that cannot reach the k-th best, so its neighbours are exact.
+2. Terms: all words of the examples, clean and toxic; none is left out. A word weighs its
+   inverse document frequency times one plus the log-likelihood ratio by which it leans to
+   toxic examples (plus nothing where it does not).
+3. Document frequencies come from all documents, not from the sample.
+4. The examples' unit vectors are posted by term; the `DENSE` most common terms, found in most
+   texts, are a matrix instead. Every example is compared with every text; matrix products run
+   in single precision, and all examples that can be among the k best are compared again in
+   double, in one order of terms, so neighbours are exact.
 5. The score is the similarity-weighted vote of the neighbours, smoothed towards the share of
-   label 1 among examples of the same kind (with or without any term). Neighbours are returned
-   as evidence.
-
-Null or empty text, and text without any term, has no neighbour and takes the share of its
-kind. Without any labelled row the share is 0. Very long texts are read whole. Repeated rows
-score alike; ties in similarity go to the example first in order; a doc_id that has several
-labels counts as toxic if any is; null labels and null ids take no part in training. Extra
-columns are ignored, or kept by `judge`.
+   label 1 among the examples. Neighbours are returned as evidence.
+
+Null or empty text, and text without a word of any example, has no neighbour and takes the share
+of label 1 among examples without a word that leans to toxic by `LIFT` and `GAIN`. Without any
+labelled row the share is 0. Very long texts are read whole. Repeated rows score alike; ties in
+similarity go to the example first in order; a doc_id that has several labels counts as toxic if
+any is; null labels and null ids take no part in training. Extra columns are ignored, or kept by
+`judge`. Memory grows with the words of the sample (12 bytes a word and example, twice).
 """
 
 from __future__ import annotations
@@ -34,20 +36,16 @@ from pyspark.sql import functions as F
 from . import common
 
 SAMPLE = 6_000
-TERMS = 3_000
 GAIN = 18.0
 LIFT = 5.0  # times as common among toxic examples as among others, at least
 BLOCK = 64
+DENSE = 1_024  # terms kept as a matrix
+ROWS = 128  # texts compared at once
+MARGIN = 1e-4  # more than single precision loses in a product of unit vectors
 NEIGHBOURS = 15
-BEGINNINGS = (4, 5, 6)
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(word: str) -> list[str]:
-    """A word and its beginnings, the latter marked with a star."""
-    return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n)]
-
-
 def _sketch(words: list[str], size: int = 4) -> list[int]:
     """Smallest hashes of 3-word shingles under a few permutations."""
     from zlib import crc32
@@ -58,74 +56,101 @@ def _sketch(words: list[str], size: int = 4) -> list[int]:
 
 
 class Index:
-    """Block-max inverted index over the examples' unit vectors."""
-
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, examples: list[tuple[int, int, dict[int, float]]], bare: float, termed: float, neighbours: int = NEIGHBOURS):
-        self.terms, self.idf, self.bare, self.termed, self.k = terms, idf, bare, termed, neighbours
-        self.ids = [doc_id for doc_id, _, _ in examples]
-        self.labels = np.array([label for _, label, _ in examples], float)
-        self.blocks = -(-len(examples) // BLOCK)
-        self.postings: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        self.most = np.zeros((len(terms), max(self.blocks, 1)), np.float64)
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for row, (_, _, counts) in enumerate(examples):
-            for term, weight in self.unit(counts).items():
-                lists.setdefault((term, row // BLOCK), []).append((row % BLOCK, weight))
-        for (term, block), entries in lists.items():
-            self.postings.setdefault(term, {})[block] = (np.array([r for r, _ in entries]), np.array([w for _, w in entries]))
-            self.most[term, block] = max(w for _, w in entries)
-        self.heads = heads_of(terms)
+    """Inverted index over the examples' unit vectors.
+
+    examples: doc_id, label, and the counts of each as arrays (starts, terms, counts) in one piece.
+    Terms are numbered by falling number of examples, so the first `DENSE` are the most common.
+    """
+
+    def __init__(self, words: list[str], idf: np.ndarray, ids: list[int], labels: list[int], starts: np.ndarray, terms: np.ndarray, counts: np.ndarray, bare: float, overall: float, neighbours: int = NEIGHBOURS):
+        self.words, self.idf, self.ids, self.labels = words, idf, ids, np.array(labels, float)
+        self.bare, self.overall, self.k, self.starts, self.of = bare, overall, neighbours, starts, terms
+        weights = (1 + np.log(counts)) * idf[terms]
+        row = np.repeat(np.arange(len(ids)), np.diff(starts))
+        norm = np.sqrt(np.bincount(row, weights * weights, len(ids)))
+        self.weights = weights / norm[row]
+        self._build()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "dense", "at", "rows", "values")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._build()
+
+    def _build(self) -> None:
+        """What follows from the vectors: terms' numbers, the matrix, and postings (at, rows, values) by term."""
+        self.terms = {w: k for k, w in enumerate(self.words)}
+        row = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.starts))
+        order = np.argsort(self.of, kind="stable")
+        self.rows, self.values = row[order], self.weights[order]
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.of, minlength=len(self.words)))]).astype(np.int64)
+        self.dense = np.zeros((min(DENSE, len(self.words)), len(self.ids)), np.float32)
+        common_ = self.of < len(self.dense)
+        self.dense[self.of[common_], row[common_]] = self.weights[common_]
+
+    @property
+    def postings(self) -> dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """Rows and weights by term and block of `BLOCK` examples; to look into the index, not to search."""
+        out: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
+        for t in range(len(self.words)):
+            rows, values = self.rows[self.at[t] : self.at[t + 1]], self.values[self.at[t] : self.at[t + 1]]
+            out[t] = {int(b): (rows[rows // BLOCK == b] % BLOCK, values[rows // BLOCK == b]) for b in np.unique(rows // BLOCK)}
+        return out
 
     def unit(self, counts: dict[int, float]) -> dict[int, float]:
-        weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items()} if norm else {}
+        if not counts:
+            return {}
+        terms = np.array(sorted(counts))
+        weights = (1 + np.log([counts[t] for t in terms.tolist()])) * self.idf[terms]
+        return dict(zip(terms.tolist(), (weights / math.sqrt((weights * weights).sum())).tolist(), strict=True))
 
     def counts(self, text: str) -> dict[int, float]:
-        return count_terms(text, self.terms, self.heads)
+        known = self.terms
+        return {known[w]: n for w, n in Counter(LETTERS.findall(text.lower())).items() if w in known}
 
     def nearest(self, text: str) -> list[tuple[float, int]]:
         """(similarity, row) of the k nearest examples that share a term, nearest first."""
-        vector = self.unit(self.counts(text))
-        if not vector or not self.blocks:
-            return []
-        rows = list(vector)
-        bounds = np.fromiter(vector.values(), float, len(rows)) @ self.most[rows]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            bound = bounds[block]
-            if bound <= 0 or len(best) == self.k and bound * (1 + 1e-12) < best[-1][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for term, weight in vector.items():
-                if entry := self.postings.get(term, {}).get(int(block)):
-                    scores[entry[0]] += weight * entry[1]
-            hits = np.flatnonzero((scores > 0) & (scores >= (best[-1][0] if len(best) == self.k else 0)))
-            if not len(hits):
-                continue
-            best = sorted([*best, *((float(scores[r]), int(block) * BLOCK + int(r)) for r in hits)], key=lambda x: (-x[0], x[1]))[: self.k]
-        return best
+        return self.nearest_of([text])[0]
+
+    def nearest_of(self, texts: list[str]) -> list[list[tuple[float, int]]]:
+        return [found for at in range(0, len(texts), ROWS) for found in self._nearest_of(texts[at : at + ROWS])]
+
+    def _nearest_of(self, texts: list[str]) -> list[list[tuple[float, int]]]:
+        n, m = len(self.ids), len(self.dense)
+        vectors = [self.unit(self.counts(t)) for t in texts]
+        if not n:
+            return [[] for _ in vectors]
+        own = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors]
+        matrix = np.zeros((len(texts), m), np.float32)
+        for k, (terms, weights) in enumerate(own):
+            few = int(np.searchsorted(terms, m))
+            matrix[k, terms[:few]] = weights[:few]
+        scores = matrix @ self.dense
+        whole, out = np.zeros(len(self.words)), []
+        for k, (terms, weights) in enumerate(own):
+            few = int(np.searchsorted(terms, m))
+            start = self.at[terms[few:]]
+            size = self.at[terms[few:] + 1] - start
+            total = int(size.sum())
+            if total:
+                entries = np.arange(total) + np.repeat(start - (np.cumsum(size) - size), size)
+                scores[k] += np.bincount(self.rows[entries], self.values[entries] * np.repeat(weights[few:], size), n).astype(np.float32)
+            least = max(0.0, float(np.partition(scores[k], n - self.k)[n - self.k]) - MARGIN) if n > self.k else 0.0
+            whole[terms] = weights
+            found = []
+            for r in np.flatnonzero(scores[k] >= least if least else scores[k] > 0).tolist():
+                a, b = self.starts[r], self.starts[r + 1]
+                found.append((-float((whole[self.of[a:b]] * self.weights[a:b]).sum()), r))
+            whole[terms] = 0
+            out.append([(-s, r) for s, r in sorted(found)[: self.k]])
+        return out
 
     def score(self, found: list[tuple[float, int]], smooth: float = 0.25) -> float:
         if not found:
             return self.bare
         total = sum(s for s, _ in found)
-        return float((sum(s * self.labels[r] for s, r in found) + smooth * self.termed) / (total + smooth))
-
-
-def heads_of(terms: dict[str, int]) -> frozenset[str]:
-    """The first characters of every term, by which most words of a text are passed over."""
-    return frozenset(t[: BEGINNINGS[0]] for t in terms)
-
-
-def count_terms(text: str, terms: dict[str, int], heads: frozenset[str], head: int = BEGINNINGS[0]) -> dict[int, float]:
-    """How often each known term occurs in a text."""
-    found: dict[int, float] = {}
-    for word in [w for w in LETTERS.findall(text.lower()) if w[:head] in heads]:
-        for t in terms_of(word):
-            if t in terms:
-                found[terms[t]] = found.get(terms[t], 0) + 1
-    return found
+        return float((sum(s * self.labels[r] for s, r in found) + smooth * self.overall) / (total + smooth))
 
 
 def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
@@ -145,83 +170,77 @@ def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return common.map_batches(rows, work, "doc_id long, toxic int, sketch array<long>, words array<string>, times array<int>").checkpoint()
 
 
-def _gain(n1: int, n0: int, all1: int, all0: int) -> float:
-    """Log-likelihood ratio of a term found in n1 of all1 toxic and n0 of all0 other examples; 0 below LIFT."""
-    if n1 * (all0 or 1) < LIFT * n0 * (all1 or 1):
-        return 0.0
-    share, total = (n1 + n0) / (all1 + all0), 0.0
-    for n, size in ((n1, all1), (n0, all0)):
-        for k, p in ((n, share), (size - n, 1 - share)):
-            if k:
-                total += k * math.log(k / (size * p))
-    return 2 * total
+def _gains(n1: np.ndarray, n0: np.ndarray, all1: int, all0: int) -> np.ndarray:
+    """Log-likelihood ratios of words found in n1 of all1 toxic and n0 of all0 other examples; 0 where they do not lean to toxic."""
+    share, total = (n1 + n0) / max(1, all1 + all0), np.zeros(len(n1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for n, size in ((n1, all1), (n0, all0)):
+            for k, p in ((n, share), (size - n, 1 - share)):
+                total += np.where(k > 0, k * np.log(k / (size * p)), 0.0)
+    return np.where(n1 * all0 > n0 * all1, 2 * np.maximum(total, 0.0), 0.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Index:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     """The index over the training examples of docs and labels."""
-    rows = _examples(docs, labels, sample)
+    rows = _examples(docs, labels, sample).dropDuplicates(["doc_id", "sketch"]).toArrow()  # bounded by the sample
     seen: set[tuple[int, int]] = set()
-    kept: dict[int, int] = {}
-    for row in sorted(rows.select("doc_id", "toxic", "sketch").collect(), key=lambda r: (r.doc_id, r.sketch)):  # bounded by the sample
-        marks = set(enumerate(row.sketch))
-        if not marks & seen and row.doc_id not in kept:
-            kept[row.doc_id] = row.toxic
+    kept: dict[int, tuple[int, int]] = {}  # label and place
+    marked = zip(rows["doc_id"].to_pylist(), rows["sketch"].to_pylist(), rows["toxic"].to_pylist(), range(len(rows)), strict=True)
+    for doc_id, sketch, label, place in sorted(marked):
+        marks = set(enumerate(sketch))
+        if not marks & seen and doc_id not in kept:
+            kept[doc_id] = (label, place)
         seen |= marks
-    all1, all0 = sum(kept.values()), len(kept) - sum(kept.values())
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        out: Counter = Counter()
-        for doc_id, label, words in zip(batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist(), batch.column("words").to_pylist(), strict=True):
-            if doc_id in kept:
-                for t in {t for w in words for t in terms_of(w)}:
-                    out[t, label] += 1
-        return pa.RecordBatch.from_pylist([{"term": t, "label": label, "n": n} for (t, label), n in out.items()], pa.schema([("term", pa.string()), ("label", pa.int32()), ("n", pa.int64())])) if out else None
-
-    counted = common.map_batches(rows.dropDuplicates(["doc_id"]).select("doc_id", "toxic", "words"), work, "term string, label int, n long").groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("label") != 1, F.col("n")).otherwise(0)).alias("n0"))
-    hopeful = counted.where((F.col("n1") >= 3) & (F.col("n1") * max(all0, 1) >= LIFT * F.col("n0") * max(all1, 1))).orderBy(F.desc(F.col("n1") - F.col("n0")), "term").limit(20 * terms)
-    gains = sorted(((_gain(r.n1, r.n0, all1, all0), r.term) for r in hopeful.collect()), key=lambda x: (-x[0], x[1]))
-    chosen = {t: k for k, t in enumerate(t for g, t in gains[:terms] if g >= GAIN)}
-    frequency, n_docs = document_frequency(docs, chosen)
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-    examples, with_terms, without = [], [], []
-    for row in sorted(rows.select("doc_id", "words", "times").dropDuplicates(["doc_id"]).collect() if chosen else [], key=lambda r: r.doc_id):
-        if row.doc_id in kept:
-            counts: dict[int, float] = {}
-            for w, n in zip(row.words, row.times, strict=True):
-                for t in terms_of(w):
-                    if t in chosen:
-                        counts[chosen[t]] = counts.get(chosen[t], 0) + n
-            (with_terms if counts else without).append(kept[row.doc_id])
-            if counts:
-                examples.append((row.doc_id, kept[row.doc_id], counts))
-    share = lambda x, otherwise: (sum(x) + otherwise) / (len(x) + 1)
-    overall = all1 / len(kept) if kept else 0.0
-    return Index(chosen, idf, examples, share(without if chosen else list(kept.values()), overall), share(with_terms, overall))
-
-
-def document_frequency(docs: DataFrame, chosen: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each chosen term occurs, and the number of documents."""
+    ids, label = sorted(kept), np.array([kept[i][0] for i in sorted(kept)], np.int64)
+    all1, all0 = int(label.sum()), int(len(label) - label.sum())
+    taken = rows.select(["words", "times"]).take(pa.array([kept[i][1] for i in ids], pa.int64())).combine_chunks()
+    lists = pa.concat_arrays(taken["words"].chunks) if taken["words"].num_chunks else pa.array([], pa.list_(pa.string()))
+    times = pa.concat_arrays(taken["times"].chunks) if taken["times"].num_chunks else pa.array([], pa.list_(pa.int32()))
+    starts = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    number, counts = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), times.flatten().to_numpy(zero_copy_only=False).astype(float)
+    size = len(coded.dictionary)
+    order = np.argsort(-np.bincount(number, minlength=size), kind="stable")
+    rank = np.empty(size, np.int64)
+    rank[order] = np.arange(size)
+    terms = rank[number].astype(np.int32)
+    words = coded.dictionary.take(pa.array(order)).to_pylist()
+    row = np.repeat(np.arange(len(ids)), np.diff(starts))
+    n1 = np.bincount(terms, label[row], size)
+    n0 = np.bincount(terms, 1 - label[row], size)
+    gains = _gains(n1, n0, all1, all0)
+    frequency, n_docs = document_frequency(docs, words)
+    idf = (np.log((1 + n_docs) / (1 + frequency)) + 1) * (1 + gains)
+    leans = (gains >= GAIN) & (n1 * max(all0, 1) >= LIFT * n0 * max(all1, 1))
+    overall = all1 / len(ids) if ids else 0.0
+    without = label[np.bincount(row, leans[terms], len(ids)) == 0] if ids else label
+    return Index(words, idf, ids, label.tolist(), starts, terms, counts, float(without.sum() + overall) / (len(without) + 1), overall)
+
+
+def document_frequency(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, int]:
+    """In how many of all documents each word occurs, and the number of documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)  # bounded by the sample's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n, heads = np.zeros(len(chosen) + 1, np.int64), 0, heads_of(chosen)
+        known = {w: k for k, w in enumerate(shared.value)}
+        total, n = np.zeros(len(known) + 1, np.int64), 0
         for batch in batches:
             for text in common.texts_of(batch, "text"):
                 n += 1
-                if own := count_terms(text, chosen, heads):
-                    total[list(own)] += 1
+                total[[known[w] for w in set(LETTERS.findall(text.lower())) if w in known]] += 1
         total[-1] = n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["term", "n"])
 
-    frequency = np.zeros(len(chosen) + 1, np.int64)
-    for row in docs.select("text").mapInArrow(common.lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # one row for each term
-        frequency[row.term] = row.n
+    frequency = np.zeros(len(words) + 1, np.int64)
+    found = docs.select("text").mapInArrow(common.lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row for each word
+    frequency[found["term"].to_numpy()] = found["n"].to_numpy()
     return frequency[:-1], int(frequency[-1])
 
 
 def judge(docs: DataFrame, index: Index, evidence: bool = True) -> DataFrame:
     """docs with score, predicted and, if asked for, neighbours (doc_id, similarity, label)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the terms
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
     clash = {"score", "predicted", "neighbours"}
     columns = [c for c in docs.columns if c not in clash]
     docs = docs.select(*columns)
@@ -229,7 +248,7 @@ def judge(docs: DataFrame, index: Index, evidence: bool = True) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = shared.value
-        found = [own.nearest(t) for t in common.texts_of(batch, "text")]
+        found = own.nearest_of(common.texts_of(batch, "text"))
         scores = [own.score(x) for x in found]
         values = [scores, [int(s >= 0.5) for s in scores]] + [[[{"doc_id": own.ids[r], "similarity": s, "label": int(own.labels[r])} for s, r in x] for x in found]] * evidence
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, kind) for v, (_, kind) in zip(values, extra, strict=True))], [*columns, *(n for n, _ in extra)])

@@ -243,6 +243,21 @@ def test_toxicity_on_held_out_labels(spark):
         assert [round(s, 9) for s, _ in index.nearest(text)] == [round(s, 9) for s, _ in best]
 
 
+def test_toxicity_counts_every_word(spark):
+    rng = np.random.default_rng(6)
+    plain = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    rows = [(i, " ".join([*rng.choice(plain, 40), *["vile"] * (i % 10 == 0)])) for i in range(600)]
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i in range(600)]
+    once = next(i for i in range(600) if i % 10 and not held[i])
+    rows[once] = (once, " ".join([*rng.choice(plain, 4), "gruesome", "horrid", "wicked", "foul"]))  # toxic words of one example only
+    labels = spark.createDataFrame([(i, int(i % 10 == 0 or i == once)) for i in range(600)], "doc_id long, toxic int")
+    clean = next(i for i in range(600) if i % 10 and not held[i] and i != once)
+    docs = documents(spark, [*rows, (1000, rows[once][1]), (1001, rows[clean][1])])
+    got = {r.doc_id: r for r in toxicity.judge(docs, toxicity.train(docs, labels)).collect()}
+    assert got[1000].neighbours[0].doc_id == once and got[1000].predicted == 1
+    assert got[1001].neighbours[0].doc_id == clean and got[1001].neighbours[0].similarity == pytest.approx(1) and got[1001].predicted == 0
+
+
 def test_toxicity_without_labels(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.judge(odd, toxicity.train(odd, none)).collect()} == {0.0}
