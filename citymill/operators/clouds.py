@@ -149,6 +149,31 @@ def signed_distance(points: DataFrame, triangles: DataFrame, most_triangles: int
     return points.mapInArrow(run, f"{fields}, sdf double")
 
 
+def signed_distance_each(points: DataFrame, triangles: DataFrame, key: str = "mesh", most_points: int = 200_000, most_triangles: int = 200_000) -> DataFrame:
+    """key and points with sdf: the distance of every point to every closed mesh, negative inside.
+
+    The points are broadcast, after a check that there are at most most_points; each mesh is a
+    group, which has at most most_triangles triangles or raises an error.
+    """
+    corners = [f"{p}{a}" for p in "abc" for a in "xyz"]
+    rows = points.limit(most_points + 1).toArrow().combine_chunks()
+    if rows.num_rows > most_points:
+        raise ValueError(f"more than {most_points} points are too many to broadcast")
+    shared = points.sparkSession.sparkContext.broadcast(rows)
+
+    def run(mesh: pa.Table) -> pa.Table:
+        if mesh.num_rows > most_triangles:
+            raise ValueError(f"a mesh of more than {most_triangles} triangles is too large for a group")
+        own, t = shared.value, np.column_stack([mesh.column(c).to_numpy() for c in corners]).reshape(-1, 3, 3)
+        xyz = np.column_stack([own.column(a).to_numpy() for a in "xyz"]).astype(float)
+        parts = [signed_distances(xyz[at : at + 1024], t) for at in range(0, len(xyz), 1024)]
+        of = pa.array([mesh.column(key)[0].as_py()] * len(xyz), mesh.schema.field(key).type)
+        return pa.Table.from_arrays([of, *own.columns, pa.array(np.concatenate(parts) if parts else [], pa.float64())], [key, *own.column_names, "sdf"])
+
+    fields = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+    return triangles.select(key, *corners).groupBy(key).applyInArrow(run, f"`{key}` {triangles.schema[key].dataType.simpleString()}{fields}, sdf double")
+
+
 def signed_distances(points: np.ndarray, triangles: np.ndarray) -> np.ndarray:
     """Distance of each point to the nearest triangle; the sign by the solid angle the mesh fills."""
     best, winding = np.full(len(points), np.inf), np.zeros(len(points))

@@ -333,3 +333,27 @@ def test_late_events_are_windowed(spark, sf_dir, tmp_path):
     query = incremental.windowed_counts(stream).writeStream.outputMode("complete").format("memory").queryName("windows").trigger(availableNow=True).option("checkpointLocation", str(tmp_path)).start()
     query.awaitTermination()
     assert spark.table("windows").agg(F.sum("n")).first()[0] == events.count()
+
+
+@pytest.mark.parametrize("name", ["surface_sample", "jittered_sample", "clipped_triangles", "voxel_surface", "voxel_upward_fill", "sdf_probe"])
+def test_kernels_take_every_mesh(spark, tmp_path, name):
+    from citymill.plans import catalog
+
+    parts = [(k, 3 + k % 4, 900.0 + k) for k in (1, 2, 3, 50, 51, 52, 100)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    assert {r.mesh for r in catalog.QUERIES[name](spark, str(tmp_path)).select("mesh").distinct().collect()} == {k for k, _, _ in parts}
+
+
+def test_distances_to_each_mesh_equal_those_to_it_alone(spark):
+    corners, faces = solids.box((0.0, 0.0, 0.0), (2.0, 2.0, 2.0))
+    names = ", ".join(f"{p}{a} double" for p in "abc" for a in "xyz")
+    rows = [(m, *[v + 5.0 * m for k in (f[0], f[i], f[i + 1]) for v in corners[k]]) for m in range(3) for f in faces for i in (1, 2)]
+    triangles = spark.createDataFrame(rows, f"mesh int, {names}")
+    points = spark.createDataFrame([(0, 1.0, 1.0, 1.0), (1, 6.0, 6.0, 6.0), (2, -1.0, 1.0, 1.0)], "pid int, x double, y double, z double")
+    each = {(r.mesh, r.pid): r.sdf for r in clouds.signed_distance_each(points, triangles).collect()}
+    assert len(each) == 9 and each[0, 0] == pytest.approx(-1) and each[1, 1] == pytest.approx(-1) and each[0, 2] == pytest.approx(1)
+    for m in range(3):
+        for r in clouds.signed_distance(points, triangles.where(F.col("mesh") == m)).collect():
+            assert each[m, r.pid] == pytest.approx(r.sdf)
+    with pytest.raises(ValueError):
+        clouds.signed_distance_each(points, triangles, most_points=2)
