@@ -9,6 +9,7 @@ import hashlib
 import os
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -55,6 +56,14 @@ def shared_folder(spark: SparkSession) -> str:
     return prepare(spark).sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read again: lineage ends, and so do the size estimates of its joins."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -105,6 +114,58 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(lean(run), schema)
 
 
+def by_groups(df: DataFrame, keys: list[str], work: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Applies work to the rows of each group of whole-number keys; a task holds one group, and what of the next came along."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if not held or any(held[-1].column(k)[-1] != batch.column(k)[-1] for k in keys):
+                table = pa.Table.from_batches([*held, batch])
+                cuts = group_starts(table, keys)
+                for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
+                    yield from work(table.slice(a, b - a))
+                held = table.slice(cuts[-2]).to_batches()
+            else:
+                held.append(batch)
+        if held:
+            table = pa.Table.from_batches(held)
+            cuts = group_starts(table, keys)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield from work(table.slice(a, b - a))
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run), schema)
+
+
+def group_starts(table: pa.Table, keys: list[str]) -> list[int]:
+    """Where the groups of a sorted table start, and its end."""
+    columns = [table.column(k).to_numpy() for k in keys]
+    new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+    return [0, *new.tolist(), table.num_rows]
+
+
+FEW = 300_000  # rows of a few numbers that may be broadcast
+HOT = 1_000  # a key is hot where it holds more than one of so many rows
+
+
+def look_up(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with a table of one narrow row for each key, whatever share of rows a key holds.
+
+    A table of at most FEW rows, by a count, is broadcast. Of a larger one only the rows of hot
+    keys are, of which there cannot be more than HOT; the other rows meet by a shuffle.
+    """
+    table = saved(table)
+    if table.count() <= FEW:
+        return rows.join(F.broadcast(table), keys, how)
+    most = rows.count() / HOT
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*keys)
+    hot = saved(hot)
+    apart = [rows.join(F.broadcast(hot), keys, kind) for kind in ("left_semi", "left_anti")]
+    return apart[0].join(F.broadcast(table.join(F.broadcast(hot), keys, "left_semi")), keys, how).unionByName(apart[1].join(table, keys, how))
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column as Python strings; null counts as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -5,21 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 
 def smallest_labels(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of its component, for each node that has an edge (a, b).
 
-    Every round each node takes the smallest label of its neighbours and then the label of that
-    label, so chains shrink at least by half; each round is written to the checkpoint folder.
-    Aggregations combine before they shuffle, so a node with very many edges is no hot spot.
+    Large and small stars in turn: each node hands its larger neighbours, then its smaller ones,
+    over to the smallest node it knows, until every component is one star. There are never more
+    edges than at the start, equal ones fall together, and each round is written to the
+    checkpoint folder. A node with very many edges is no hot spot (see look_up).
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")).checkpoint()
-    while True:
-        heard = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
-        near = labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("label"))
-        over = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        grown = near.join(over, "label", "left").select("node", "old", F.least(F.col("label"), F.coalesce("further", "label")).alias("label")).checkpoint()
-        labels = grown.select("node", "label")
-        if not grown.where(F.col("label") != F.col("old")).limit(1).count():
-            return labels
+    down = common.saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
+    while not _stars(down):
+        up = down.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = down.union(up).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = common.saved(common.look_up(up, least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        small = common.look_up(large, large.groupBy("a").agg(F.min("b").alias("m")), ["a"])
+        down = common.saved(small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).where("a > b").distinct())
+    return down.select(F.col("a").alias("node"), F.col("b").alias("label")).union(down.select("b", "b").distinct())
+
+
+def _stars(down: DataFrame) -> bool:
+    """Whether every node has one edge down, to a node that has none."""
+    ends = down.select(F.col("a").alias("node"), F.lit(0).alias("centre")).union(down.select(F.col("b").alias("node"), F.lit(1).alias("centre")))
+    per = ends.groupBy("node").agg(F.count(F.when(F.col("centre") == 0, 1)).alias("downs"), F.max("centre").alias("centre"))
+    return not per.where("downs > 1 OR downs = 1 AND centre = 1").limit(1).count()

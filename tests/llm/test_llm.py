@@ -337,6 +337,31 @@ def test_near_copies_on_odd_rows(spark, odd, empty):
     assert near.groups(empty).count() == 0
 
 
+def test_links_of_repeated_ids_are_kept(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(5, one), (5, two), (9, f"{two} more"), (7, f"{one} more"), (7, f"{one} more")]
+    got = {(r.doc_id, r.component_id) for r in near.groups(documents(spark, rows), 3, 85).collect()}
+    assert got == {(5, 5), (9, 5), (7, 5)}
+    kept = near.one_of_each(documents(spark, rows), 3, 85)
+    assert kept.columns == documents(spark, rows).columns and sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, one), (5, two)])
+
+
+def test_large_clusters_are_completed_by_blocks(spark, monkeypatch):
+    """Clusters above a block: random deals, then blocks of different components."""
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(300)]
+    texts = {}
+    for c in range(90):  # a group in which many pairs are a little below the similarity
+        copy = list(base)
+        for i in rng.choice(300, int(rng.integers(4, 16)), replace=False):
+            copy[i] = f"new{c}x{i}"
+        texts[c] = " ".join(copy)
+    for rows, deals in ((16, 0), (24, 1)):
+        monkeypatch.setattr(near, "ROWS", rows)
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.groups(documents(spark, list(texts.items())), 3, 85, deals=deals).collect()}
+        assert got == linked(texts, 3, 85), (rows, deals)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     assert {r.node: r.label for r in components.smallest_labels(edges).collect()} == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
