@@ -19,13 +19,6 @@ from pyspark.sql import functions as F
 from citymill.llm import bpe, common, mixing, near, private, toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-SMALL = 1_000_000  # ids, 8 MB at most, that may be broadcast; more of them are shuffled
-
-
-def _few(ids: DataFrame) -> DataFrame:
-    """ids, broadcast where a count shows that they are few."""
-    ids = ids.checkpoint()
-    return F.broadcast(ids) if ids.count() <= SMALL else ids
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +31,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by word shingles of five and a similarity of 0.8."""
     docs = common.prepare(spark) and docs.select(*COLUMNS)
-    found = near.groups(docs, size=5, percent=80).checkpoint()
-    dropped = _few(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())
-    rest = docs.join(dropped, "doc_id", "left_anti")
-    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id").checkpoint()
-    if not repeated.limit(1).count():
-        return rest.select(*COLUMNS)
-    repeated = _few(repeated)
-    once = rest.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # rows of one id are one document
-    return rest.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    return near.one_of_each(docs, size=5, percent=80).select(*COLUMNS)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

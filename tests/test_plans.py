@@ -1,8 +1,15 @@
 """Every plan against its SQL twin; plans without one must give rows of a stable schema."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from conftest import rows_of
 
+import __spark_entry__
 from citymill.plans import catalog
 
 
@@ -30,3 +37,14 @@ def test_entry_imports_and_runs(spark):
 
     assert __spark_entry__.entry(spark).count() >= 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("gone", [("citymill/llm", "tests/llm", "corpus_pipeline.py"), ("citymill/llm", "tests/llm")])
+def test_entry_works_without_the_removable_part(tmp_path, gone):
+    root, copy = Path(__spark_entry__.__file__).parent, tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__"))
+    for name in gone:
+        if (copy / name).exists():
+            (shutil.rmtree if (copy / name).is_dir() else Path.unlink)(copy / name)
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 60 and set(e.oracle_sql()) <= set(e.queries()); assert not any(n.startswith('op1') or n == 'pipeline' for n in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": str(copy)})
