@@ -2,10 +2,12 @@
 
 1. Every page is read into a tree; each element's subtree is hashed together with its host.
 2. Spark counts, for each host, in how many different pages a subtree occurs; pages that are
-   copies of each other (the same text throughout and the same subtrees) count once. Subtrees (of block elements, in articles of containers) found in at least `MIN_PAGES` pages and in
-   `SHARE` of the host's pages are the site's template.
+   copies of each other (the same text throughout and the same subtrees) count once. Subtrees (of
+   block elements, in articles of containers) found in at least `min_pages` pages and in `share`
+   of the host's pages are the site's template.
 3. Template subtrees are deleted, and so are menus, headers, footers, sidebars, notices,
-   adverts, forms, scripts, styles and comments, told by their element, role, class or id.
+   adverts, forms, scripts, styles and comments, told by their element, role, class or id. An
+   article is never told by its class, nor does it go with an element laid round it.
    Where a page has article (else main) elements, only their text is read.
 
 Null or empty html gives the empty text. A null url is a host of its own. Very long pages are
@@ -41,10 +43,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr del label".split())
 DROPPED = frozenset("nav footer aside form head button select dialog menu fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Class or id words that tell what is not content, wherever they stand in a name.
+#: Class or id words that tell what is not content: a name of such words and of PARTS, as site-footer.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay sidebar sidenav widget widgets menu nav navbar navigation breadcrumb breadcrumbs footer comment comments respond disqus related share sharing social newsletter subscribe signup login pagination pager masthead skip".split()
 )
+#: Words that say where or what part it is, and leave the meaning of a name to the others.
+PARTS = frozenset("area bar block bottom box button buttons column container content float fixed form global group icon icons inline inner item left link links list main media mobile nav outer page panel post posts primary right row secondary section site slot sticky text title toggle top unit wrap wrapper".split())
 #: These tell it only as a whole name, as in class="header".
 WHOLE_NAMES = frozenset("header site-header page-header top-header topbar alert side rail toolbar search searchbox".split())
 #: An open element on the left is closed when one of the elements on the right begins or a parent ends.
@@ -60,6 +64,9 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("ul ol dl table select article section div body html main aside nav footer header form".split())
 NEVER = frozenset("html head body meta article main".split())
+HELD = frozenset(["article", "main"])
+#: Elements that may be laid round a whole page, and go only where they hold no article.
+AROUND = frozenset("div section form table tbody tr td fieldset span center".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre tr td th".split())
 SPACES = re.compile(r"[\s ]+")
 
@@ -71,11 +78,13 @@ class Node:
     dropped: bool
     parent: int
     first: int  # index of its first text run
+    inner: int = -1  # where its first tag ends
     end: int = -1
     last: int = -1
     hash: int = 0
     hidden: bool = False
     content: bool = False  # in an article
+    holds: bool = False  # an article, or a heading of the first rank
 
 
 @dataclass
@@ -84,6 +93,14 @@ class Page:
     runs: list[tuple[str | None, int]] = field(default_factory=list)  # text, or None at a block's edge; its node
 
 
+def unwanted(name: str) -> bool:
+    """Whether a class or id names what is never content; a word that is neither in NAMES nor in PARTS makes it another thing."""
+    if name in WHOLE_NAMES or name in NAMES:
+        return True
+    own = set(re.split(r"[^a-z]+", name)) - {""}
+    return bool(own & NAMES) and own <= NAMES | PARTS
+
+
 def names_drop(tag: str, attributes: str) -> bool:
     """Whether an element is never content, by its role, class or id."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
@@ -94,10 +111,8 @@ def names_drop(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id"):
-            for whole in value.split():
-                if whole in WHOLE_NAMES or NAMES & set(re.split(r"[^a-z]+", whole)):
-                    return True
+        if name in ("class", "id") and any(unwanted(whole) for whole in value.split()):
+            return True
     return False
 
 
@@ -150,8 +165,13 @@ def parse(source: str) -> Page:
         if tag not in INLINE:
             runs.append((None, stack[-1]))
         in_article = tag == "header" and any(nodes[i].tag in ("article", "main") for i in stack)
-        dropped = tag in DROPPED or tag == "header" and not in_article or tag not in ("html", "body", "main") and names_drop(tag, m[4])
-        nodes.append(Node(tag, m.start(), dropped, stack[-1], len(runs)))
+        dropped = tag in DROPPED or tag == "header" and not in_article or tag not in ("html", "body", "main", "article") and names_drop(tag, m[4])
+        nodes.append(Node(tag, m.start(), dropped, stack[-1], len(runs), m.end()))
+        if tag in HELD:
+            for i in reversed(stack):
+                if nodes[i].holds:
+                    break  # and so do those around it
+                nodes[i].holds = True
         stack.append(len(nodes) - 1)
         if m[4].endswith("/") and tag in INLINE:
             close(m.end())
@@ -168,17 +188,33 @@ def host_of(url: str | None) -> str:
 
 
 def subtree_hashes(source: str, host: str, page: Page) -> list[int]:
-    """Signed 64-bit hash of (host, source of the element) for each element that can be template.
+    """Signed 64-bit hash of (host, subtree) for each element that can be template, from the leaves up.
 
-    Inline elements cannot, nor can single paragraphs of an article: a sentence that a site
-    repeats is content there, a container that it repeats is not.
+    An element's hash is that of its tag, its attributes, its own text and its children's hashes
+    in order, so the work grows with the page and not with its depth. Inline elements cannot be
+    template, nor can single paragraphs of an article: a sentence that a site repeats is content
+    there, a container that it repeats is not.
     """
-    lead, out, nodes = f"{host}\0", [], page.nodes
+    nodes, out = page.nodes, []
+    parts: list[list[tuple[int, int]]] = [[] for _ in nodes]
+    texts: list[list[tuple[int, str]]] = [[] for _ in nodes]
+    for at, (text, owner) in enumerate(page.runs):
+        if text is not None and not text.isspace():
+            texts[owner].append((at, text))
+    for k in range(len(nodes) - 1, 0, -1):  # children come after their parents
+        node = nodes[k]
+        pieces = [*((at, f"t{SPACES.sub(' ', text).strip()}") for at, text in texts[k]), *((nodes[c].first, f"e{c_hash}") for c, c_hash in reversed(parts[k]))]
+        pieces.sort(key=lambda x: x[0])
+        lead = SPACES.sub(" ", source[node.start : node.inner])
+        own = xxhash.xxh64_intdigest("\0".join([host, lead, *(p for _, p in pieces)]))
+        parts[node.parent].append((k, own))
+        node.hash = own - (1 << 63)
     for node in nodes[1:]:
         node.content = node.tag in ("article", "main") or nodes[node.parent].content
         if node.tag not in NEVER and node.tag not in INLINE and not (node.content and node.tag in PARAGRAPHS):
-            node.hash = xxhash.xxh64_intdigest(lead + SPACES.sub(" ", source[node.start : node.end])) - (1 << 63)
             out.append(node.hash)
+        else:
+            node.hash = 0
     return out
 
 
@@ -186,7 +222,7 @@ def main_text(source: str, page: Page, template: set[int]) -> str:
     """Text of the blocks that stay, each with its white space as one space, joined by one space."""
     nodes = page.nodes
     for node in nodes:
-        node.hidden = node.dropped or node.parent >= 0 and nodes[node.parent].hidden or bool(template) and node.hash in template
+        node.hidden = node.dropped and not (node.holds and node.tag in AROUND) or node.parent >= 0 and nodes[node.parent].hidden or bool(template) and node.hash != 0 and node.hash in template
     inside = [False] * len(nodes)
     for wanted in ("article", "main"):
         for k, node in enumerate(nodes):

@@ -87,6 +87,55 @@ def test_broken_markup_is_read(html):
     assert isinstance(pages.main_text(html, pages.parse(html), set()), str)
 
 
+def brute_template(rows, min_pages, share):
+    """Repeated containers by their source, for pages without nesting rules: what a host's different pages have in common."""
+    pages_of, hosts = collections.defaultdict(set), collections.defaultdict(set)
+    for _, url, source in rows:
+        host = pages.host_of(url)
+        hosts[host].add(source)
+        for box in re.findall(r"<section>.*?</section>", source):
+            pages_of[host, box].add(source)
+    return {(h, box) for (h, box), own in pages_of.items() if len(own) >= min_pages and len(own) >= share * len(hosts[h])}
+
+
+def test_template_equals_a_count_by_source(spark):
+    rng, rows = np.random.default_rng(1), []
+    boxes = [f"<section><p>box {k}</p></section>" for k in range(12)]
+    for i in range(400):
+        own = [boxes[k] for k in sorted(rng.choice(12, 4, replace=False, p=[0.3, 0.2, 0.15, 0.1, 0.05, 0.05, 0.04, 0.03, 0.03, 0.02, 0.02, 0.01]))]
+        rows.append((i, f"http://h{i % 5}.example/{i}", f"<body><article><p>own text {i % 350}</p>{''.join(own)}</article></body>"))
+    template = brute_template(rows, 8, 0.5)
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert template and len({h for h, _ in template}) == 5
+    for i, url, source in rows:
+        left = [b for b in re.findall(r"<section>.*?</section>", source) if (pages.host_of(url), b) not in template]
+        assert got[i] == " ".join([f"own text {i % 350}", *(re.sub("<[^>]*>", "", b) for b in left)])
+
+
+def test_pages_with_one_shell_lose_it(spark):
+    """Pages that differ in the paragraphs of their article only; whole names; elements round an article."""
+    shell = "<nav>menu</nav><article><p>own text {0}</p><section><p>follow us everywhere</p></section></article>"
+    rows = [(i, f"http://a.example/{i}", shell.format(i)) for i in range(40)]
+    wraps = ["<article class='post has-sidebar'><p>kept</p></article>", "<div class='content no-sidebar'><p>kept</p></div>", "<section id='market-share'>kept</section>", "<div class='related-work'>kept</div>", "<form action=x><article>kept</article><input></form>", "<div class='modal'><main>kept</main></div>"]
+    gone = ["<div class='site-footer'>x</div>kept", "<div class='sidebar-left'>x</div>kept", "<form><p>x</p></form>kept", "<ul class='share-buttons'><li>x</ul>kept", "<div id=cookie-banner>x</div><p>kept"]
+    rows += [(100 + k, f"http://w{k}.example/", h) for k, h in enumerate(wraps + gone)]
+    got = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(40)] == [f"own text {i}" for i in range(40)] and {got[100 + k] for k in range(len(wraps + gone))} == {"kept"}
+
+
+def test_deep_and_long_pages(spark):
+    import time
+
+    for n in (8_000, 60_000):  # the work grows with the page
+        source = "<div>" * n + "deep" + "</div>" * n
+        began = time.perf_counter()
+        page = pages.parse(source)
+        found = pages.subtree_hashes(source, "h", page)
+        assert len(set(found)) == n and pages.main_text(source, page, set()) == "deep" and time.perf_counter() - began < n / 4_000
+    long = "<article>" + "".join(f"<p>word{i} &amp; <b>bo</b>ld</p>" for i in range(50_000)) + "</article>"
+    assert pages.extract(spark.createDataFrame([(1, "u", long)], "page_id long, url string, html string")).first().text == " ".join(f"word{i} & bold" for i in range(50_000))
+
+
 # 2
 
 
