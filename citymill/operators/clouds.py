@@ -32,19 +32,16 @@ def rotations(points: DataFrame, angles: tuple[float, ...] = ANGLES) -> DataFram
     return angled.select(*others, "angle", x.alias("x"), z.alias("z"))
 
 
-def crop(points: DataFrame, chunks: DataFrame, limit: float = 1.5, least: int = LEAST_POINTS, cell: float | None = None) -> DataFrame:
+def crop(points: DataFrame, chunks: DataFrame, limit: float = 1.5, least: int = LEAST_POINTS, cell: float = 1.0) -> DataFrame:
     """chunk, pid, x, y, z: points within +-limit of a chunk's cube scaled to -1 .. 1, of chunks with more than `least` points.
 
-    chunks: chunk, px, py, pz, size. With a cell size both sides are cut into x and z cells and
-    meet by an equi-join; without, the chunks are repeated to all points, which suits few chunks.
+    chunks: chunk, px, py, pz, size. Both sides are cut into x and z cells of size `cell` and meet
+    by an equi-join; chunks are repeated for the cells that they reach, points are not repeated.
     """
-    if cell:
-        reach = F.col("size") * F.lit(limit / 2)
-        number = lambda v: F.floor(v / F.lit(cell)).cast("long")
-        near = chunks.withColumn("cell_x", F.explode(F.sequence(number(F.col("px") - reach) - 1, number(F.col("px") + reach) + 1))).withColumn("cell_z", F.explode(F.sequence(number(F.col("pz") - reach) - 1, number(F.col("pz") + reach) + 1)))
-        both = points.withColumn("cell_x", number(F.col("x"))).withColumn("cell_z", number(F.col("z"))).join(near, ["cell_x", "cell_z"])
-    else:
-        both = points.crossJoin(F.broadcast(chunks))
+    reach = F.col("size") * F.lit(limit / 2)
+    number = lambda v: F.floor(v / F.lit(cell)).cast("long")
+    near = chunks.withColumn("cell_x", F.explode(F.sequence(number(F.col("px") - reach) - 1, number(F.col("px") + reach) + 1))).withColumn("cell_z", F.explode(F.sequence(number(F.col("pz") - reach) - 1, number(F.col("pz") + reach) + 1)))
+    both = points.withColumn("cell_x", number(F.col("x"))).withColumn("cell_z", number(F.col("z"))).join(near, ["cell_x", "cell_z"])
     moved = both.where("size > 0").select("chunk", "pid", *[scalar.to_cube(F.col(a), F.col(f"p{a}"), F.col("size")).alias(a) for a in ("x", "y", "z")])
     inside = moved.where(" AND ".join(f"{a} BETWEEN {-limit!r}D AND {limit!r}D" for a in ("x", "y", "z")))
     enough = inside.groupBy("chunk").agg(F.count("*").alias("_n")).where(F.col("_n") > least)

@@ -25,9 +25,11 @@ class Scene:
     zmax: float
 
     def __post_init__(self) -> None:
-        for a in "xyz":
+        for a in "xz":
             if not getattr(self, f"{a}max") > getattr(self, f"{a}min"):
                 raise ValueError(f"{a}max must be above {a}min")
+        if self.ymax < self.ymin:
+            raise ValueError("ymax must not be below ymin")  # a scene may be flat
 
 
 def line_samples(lines: DataFrame) -> DataFrame:
@@ -46,18 +48,19 @@ def line_samples(lines: DataFrame) -> DataFrame:
 def serpentine(spark: SparkSession, scene: Scene, height: float, along: float, cross: float, prefix: str = "P") -> DataFrame:
     """idx, name, row, position, x, y, z, yaw: rows at cross distance, flown in turn in both directions.
 
-    The rows are centred on the scene in z and clamped to it; rows whose place is past the far
-    edge are left out. The heading is that to the next sample, for the last that of the one before.
+    There is room for ceil(dz / cross) + 1 rows; the first stands half of what all but two of
+    their distances leave of dz behind zmin, at zmin itself if they leave nothing, and no row
+    lies behind zmax. The heading is that to the next sample, for the last that of the one before.
     """
+    along, cross = scalar.positive(float(along), "along"), scalar.positive(float(cross), "cross")
     dz = scene.zmax - scene.zmin
-    rows = max(1, math.ceil(dz / cross) + 1)
-    start = scene.zmin + (dz - (rows - 1) * cross) / 2
-    table = spark.range(rows).select(F.col("id").cast("int").alias("row"), (F.lit(start) + F.col("id") * F.lit(float(cross))).alias("raw_z"))
-    table = table.where(F.col("raw_z") <= scene.zmax + cross / 2).withColumn("z", scalar.clamp(F.col("raw_z"), scene.zmin, scene.zmax))
+    room = max(1, math.ceil(dz / cross) + 1)
+    start = scene.zmin + max(0.0, (dz - (room - 2) * cross) / 2)
+    rows = spark.range(room).select(F.col("id").cast("int").alias("row"), (F.lit(start) + F.col("id") * F.lit(cross)).alias("z")).where((F.col("row") == 0) | (F.col("z") <= scene.zmax))
     forth = F.col("row") % 2 == 0
-    ends = table.select("row", "z", F.when(forth, scene.xmin).otherwise(scene.xmax).alias("start"), F.when(forth, scene.xmax).otherwise(scene.xmin).alias("stop"), F.lit(float(along)).alias("step"))
-    order = Window.orderBy("row", "position")
-    poses = line_samples(ends).withColumn("idx", (F.row_number().over(order) - 1).cast("long"))
+    ends = rows.select("row", scalar.clamp(F.col("z"), scene.zmin, scene.zmax).alias("z"), F.when(forth, scene.xmin).otherwise(scene.xmax).alias("start"), F.when(forth, scene.xmax).otherwise(scene.xmin).alias("stop"), F.lit(along).alias("step"))
+    in_row = max(1, math.ceil((scene.xmax - scene.xmin) / along)) + 1  # samples, the same in every row
+    poses = line_samples(ends).withColumn("idx", F.col("row").cast("long") * in_row + F.col("position"))
     return headings(poses.select("idx", scalar.numbered(F.lit(prefix), F.col("idx")).alias("name"), "row", "position", "x", F.lit(float(height)).alias("y"), "z"))
 
 
@@ -70,11 +73,12 @@ def headings(poses: DataFrame, order: str = "idx") -> DataFrame:
     return poses.withColumn("yaw", scalar.wrap_degrees(F.coalesce(angle(ahead), angle(behind), F.lit(0.0))))
 
 
-def rig(poses: DataFrame, cameras: tuple[tuple[str, float, float], ...] = NADIR) -> DataFrame:
-    """name, x, y, z, yaw, pitch, roll of each picture of each pose."""
+def rig(poses: DataFrame, cameras: tuple[tuple[str, float, float], ...] = NADIR, with_heading: bool = False) -> DataFrame:
+    """name, x, y, z, yaw, pitch, roll of each picture of each pose; cameras keep a fixed yaw in the world, or turn with the heading."""
+    heading = F.col("yaw") if with_heading else F.lit(0.0)
     camera = F.explode(F.array(*[F.struct(F.lit(s).alias("suffix"), F.lit(y).alias("turn"), F.lit(p).alias("pitch")) for s, y, p in cameras]))
     shots = poses.withColumn("camera", camera)
-    return shots.select(F.format_string("%s_%s.png", "name", "camera.suffix").alias("name"), "x", "y", "z", scalar.wrap_degrees(F.col("yaw") + F.col("camera.turn")).alias("yaw"), F.col("camera.pitch").alias("pitch"), F.lit(0.0).alias("roll"))
+    return shots.select(F.format_string("%s_%s.png", "name", "camera.suffix").alias("name"), "x", "y", "z", scalar.wrap_degrees(heading + F.col("camera.turn")).alias("yaw"), F.col("camera.pitch").alias("pitch"), F.lit(0.0).alias("roll"))
 
 
 def manifest(shots: DataFrame) -> DataFrame:

@@ -236,10 +236,10 @@ def change_new_names(spark, sf):
     return pairs.new_names(chunks, pairs.state_pairs(chunks))
 
 
-@plan(f"WITH {PAIRS}, c AS (SELECT l_suppkey AS item, count(*) AS n FROM lineitem WHERE l_linenumber = 1 AND l_suppkey % 3 > 0 GROUP BY 1), u AS (SELECT t1, t2, unnest(new_buildings) AS item FROM pairs) SELECT t1, t2, CAST(sum(n) AS BIGINT) AS points FROM u JOIN c USING (item) GROUP BY t1, t2")
+@plan(f"WITH {PAIRS}, c AS (SELECT l_suppkey AS item, count(*) AS n FROM lineitem GROUP BY 1), u AS (SELECT t1, t2, unnest(new_buildings) AS item FROM pairs) SELECT t1, t2, CAST(sum(n) AS BIGINT) AS points FROM u JOIN c USING (item) GROUP BY t1, t2")
 def change_cloud_sizes(spark, sf):
     chunks = _chunks(spark, sf)
-    cloud = table(spark, sf, "lineitem").where("l_linenumber = 1 AND l_suppkey % 3 > 0").select(F.col("l_suppkey").alias("cloud"), "l_orderkey")
+    cloud = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cloud"), "l_orderkey")
     return pairs.change_clouds(chunks, pairs.state_pairs(chunks), cloud).groupBy("t1", "t2").agg(F.count("*").alias("points"))
 
 
@@ -280,22 +280,22 @@ def cloud_rotate_y(spark, sf):
     return rounded(clouds.rotations(A.points(spark, sf)))
 
 
-CROPPED = f"{A.POINTS_SQL}, chunk AS (SELECT s_suppkey AS chunk, ((s_suppkey % 5) - 2) * 1e-1 AS px, 0e0 AS py, ((s_suppkey % 3) - 1) * 1e-1 AS pz, 2e-1 AS size FROM supplier WHERE s_suppkey <= 15), moved AS (SELECT chunk, pid, (x - px) * 2e0 / size AS x, (y - py) * 2e0 / size AS y, (z - pz) * 2e0 / size AS z FROM points CROSS JOIN chunk), inside AS (SELECT *, count(*) OVER (PARTITION BY chunk) AS n FROM moved WHERE x BETWEEN -15e-1 AND 15e-1 AND y BETWEEN -15e-1 AND 15e-1 AND z BETWEEN -15e-1 AND 15e-1)"
+CROPPED = f"{A.POINTS_SQL}, chunk AS (SELECT s_suppkey AS chunk, ((s_suppkey * 7 % 41) - 20) * 5e-2 AS px, 0e0 AS py, ((s_suppkey * 11 % 37) - 18) * 5e-2 AS pz, 1e-1 AS size FROM supplier), moved AS (SELECT chunk, pid, (x - px) * 2e0 / size AS x, (y - py) * 2e0 / size AS y, (z - pz) * 2e0 / size AS z FROM points CROSS JOIN chunk), inside AS (SELECT *, count(*) OVER (PARTITION BY chunk) AS n FROM moved WHERE x BETWEEN -15e-1 AND 15e-1 AND y BETWEEN -15e-1 AND 15e-1 AND z BETWEEN -15e-1 AND 15e-1)"
 
 
 def _crop_chunks(spark, sf):
     key = F.col("s_suppkey")
-    return table(spark, sf, "supplier").where("s_suppkey <= 15").select(key.alias("chunk"), (((key % 5) - 2) * 0.1).alias("px"), F.lit(0.0).alias("py"), (((key % 3) - 1) * 0.1).alias("pz"), F.lit(0.2).alias("size"))
+    return table(spark, sf, "supplier").select(key.alias("chunk"), (((key * 7 % 41) - 20) * 0.05).alias("px"), F.lit(0.0).alias("py"), (((key * 11 % 37) - 18) * 0.05).alias("pz"), F.lit(0.1).alias("size"))
 
 
 @plan(f"WITH {CROPPED} SELECT chunk, pid, round(x, 6) + 0e0 AS x, round(y, 6) + 0e0 AS y, round(z, 6) + 0e0 AS z FROM inside WHERE n > 10")
 def cloud_normalize_crop(spark, sf):
-    return rounded(clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf)))
+    return rounded(clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf), cell=0.1))
 
 
 @plan(f"WITH {CROPPED} SELECT chunk, count(*) AS n FROM inside WHERE n > 10 GROUP BY chunk")
 def chunk_point_crop(spark, sf):
-    return clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf), cell=0.2).groupBy("chunk").agg(F.count("*").alias("n"))
+    return clouds.crop(A.points(spark, sf), _crop_chunks(spark, sf), cell=0.1).groupBy("chunk").agg(F.count("*").alias("n"))
 
 
 @plan(f"WITH {A.POINTS_SQL} SELECT cloud, round(max(x), 6) + 0e0 AS max_x, round(max(y), 6) + 0e0 AS max_y, round(max(z), 6) + 0e0 AS max_z, greatest(max(x), max(y), max(z)) > 0.45 AS above FROM points GROUP BY cloud")
@@ -400,10 +400,7 @@ def copy_plan(spark, sf):
 
 # flight
 
-_ROWS = 8
-
-
-@plan("""WITH r AS (SELECT CAST(range AS INTEGER) AS row, 0e0 + (320e0 - 8 * 45e0) / 2 + range * 45e0 AS raw_z FROM range(9)), t AS (SELECT row, greatest(0e0, least(320e0, raw_z)) AS z FROM r WHERE raw_z <= 320e0 + 225e-1),
+@plan("""WITH n AS (SELECT CAST(greatest(1, ceil(320e0 / 45e0) + 1) AS INTEGER) AS room), r AS (SELECT CAST(unnest(range(room)) AS INTEGER) AS row, room FROM n), t AS (SELECT row, 0e0 + greatest(0e0, (320e0 - (room - 2) * 45e0) / 2) + row * 45e0 AS z FROM r WHERE row = 0 OR greatest(0e0, (320e0 - (room - 2) * 45e0) / 2) + row * 45e0 <= 320e0),
 p AS (SELECT row, z, CAST(unnest(range(14)) AS INTEGER) AS position FROM t), s AS (SELECT row, position, z, CASE WHEN row % 2 = 0 THEN least(position * 40e0, 500e0) ELSE 500e0 - least(position * 40e0, 500e0) END AS x FROM p),
 o AS (SELECT row_number() OVER (ORDER BY row, position) - 1 AS idx, *, 80e0 AS y FROM s),
 h AS (SELECT *, lead(x) OVER w - x AS ax, lead(z) OVER w - z AS az, x - lag(x) OVER w AS bx, z - lag(z) OVER w AS bz FROM o WINDOW w AS (ORDER BY idx)),
@@ -420,11 +417,12 @@ def flight_yaw(spark, sf):
     return rounded(flight.headings(poses).select("idx", "yaw"))
 
 
-@plan("""WITH o AS (SELECT 'P_' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS p, (s_suppkey % 360) * 1e0 - 180 AS yaw FROM supplier), c(suffix, turn, pitch) AS (VALUES ('N', 0e0, -90e0), ('F', 0e0, -45e0), ('R', 90e0, -45e0), ('B', 180e0, -45e0), ('L', -90e0, -45e0))
-SELECT p || '_' || suffix || '.png' AS name, (yaw + turn) + 180 - 360 * floor(((yaw + turn) + 180) / 360) - 180 AS yaw, pitch, 0e0 AS roll FROM o CROSS JOIN c""")
+@plan("""WITH o AS (SELECT 'P_' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS p, (s_suppkey % 360) * 1e0 - 180 AS yaw FROM supplier), c(suffix, turn, pitch) AS (VALUES ('N', 0e0, -90e0), ('F', 0e0, -45e0), ('R', 90e0, -45e0), ('B', 180e0, -45e0), ('L', -90e0, -45e0)), m(turned) AS (VALUES (0e0), (1e0))
+SELECT p || '_' || suffix || '.png' AS name, turned = 1 AS turns, (turned * yaw + turn) + 180 - 360 * floor(((turned * yaw + turn) + 180) / 360) - 180 AS yaw, pitch, 0e0 AS roll FROM o CROSS JOIN c CROSS JOIN m""")
 def camera_rig(spark, sf):
     poses = table(spark, sf, "supplier").select(scalar.numbered(F.lit("P"), F.col("s_suppkey")).alias("name"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"), ((F.col("s_suppkey") % 360) * 1.0 - 180).alias("yaw"))
-    return flight.rig(poses, flight.FIVE).select("name", "yaw", "pitch", "roll")
+    fixed, turned = (flight.rig(poses, flight.FIVE, with_heading=h).withColumn("turns", F.lit(h)) for h in (False, True))
+    return fixed.unionByName(turned).select("name", "turns", "yaw", "pitch", "roll")
 
 
 @plan("""WITH l AS (SELECT s_suppkey AS id, (s_suppkey % 7) * 10e0 AS start, (s_suppkey % 5) * 12e0 AS stop, 5e0 AS step FROM supplier), n AS (SELECT *, abs(stop - start) AS length, CASE WHEN start = stop THEN 0 ELSE greatest(1, CAST(ceil(abs(stop - start) / step) AS INTEGER)) END AS c FROM l), p AS (SELECT *, CAST(unnest(range(c + 1)) AS INTEGER) AS position FROM n)
@@ -500,10 +498,10 @@ def loose_geometry(spark, sf):
     return topology.loose(v.unionByName(extra), wires, faces)
 
 
-@plan("""WITH RECURSIVE e AS (SELECT c_nationkey AS mesh, c_custkey % 40 AS a, (c_custkey * 7 + 3) % 61 AS b FROM customer WHERE c_custkey % 5 = 0), n AS (SELECT mesh, a AS vid FROM e UNION SELECT mesh, b FROM e), d AS (SELECT mesh, a, b FROM e UNION SELECT mesh, b, a FROM e),
+@plan("""WITH RECURSIVE e AS (SELECT c_nationkey AS mesh, c_custkey % 40 AS a, (c_custkey * 7 + 3) % 61 AS b FROM customer), n AS (SELECT mesh, a AS vid FROM e UNION SELECT mesh, b FROM e), d AS (SELECT mesh, a, b FROM e UNION SELECT mesh, b, a FROM e),
 r(mesh, vid, label) AS (SELECT mesh, vid, vid FROM n UNION SELECT r.mesh, d.b, r.label FROM r JOIN d ON r.mesh = d.mesh AND r.vid = d.a) SELECT mesh, vid, min(label) AS component FROM r GROUP BY mesh, vid""")
 def connected_components(spark, sf):
-    rows = table(spark, sf, "customer").where("c_custkey % 5 = 0")
+    rows = table(spark, sf, "customer")
     faces = rows.select(F.col("c_nationkey").alias("mesh"), F.col("c_custkey").alias("fid"), F.array(F.col("c_custkey") % 40, (F.col("c_custkey") * 7 + 3) % 61).alias("idx"))
     return topology.components(faces)
 

@@ -126,7 +126,7 @@ def test_four_quarter_turns_are_identity(spark):
 def test_crop_keeps_only_filled_chunks(spark, n, kept):
     points = spark.createDataFrame([(k, 0.0, 0.0, 0.01 * k) for k in range(n)] + [(99, 9.0, 9.0, 9.0)], "pid int, x double, y double, z double")
     chunks = spark.createDataFrame([(1, 0.0, 0.0, 0.0, 2.0)], "chunk int, px double, py double, pz double, size double")
-    assert clouds.crop(points, chunks).count() == clouds.crop(points, chunks, cell=1.0).count() == kept
+    assert clouds.crop(points, chunks, cell=0.3).count() == clouds.crop(points, chunks, cell=1.0).count() == kept
 
 
 def test_farthest_points(spark):
@@ -229,6 +229,16 @@ def test_flight_turns_and_stays_inside(spark):
     assert flight.rig(spark.createDataFrame([("P", 0.0, 0.0, 0.0, 0.0)], "name string, x double, y double, z double, yaw double")).first().name == "P_N.png"
     with pytest.raises(ValueError):
         flight.Scene(0, 0, 0, 1, 0, 1)
+    flat = flight.Scene(0.0, 500.0, 7.0, 7.0, 0.0, 320.0)  # a flat scene may be flown over
+    rows = {r.row: r.z for r in flight.serpentine(spark, flat, 80.0, 40.0, 45.0).collect()}
+    assert rows == {k: 2.5 + 45 * k for k in range(8)}
+    assert {r.z for r in flight.serpentine(spark, flight.Scene(0, 10, 0, 1, 0, 90), 5.0, 5.0, 45.0).collect()} == {22.5, 67.5}
+    assert {r.z for r in flight.serpentine(spark, flight.Scene(0, 10, 0, 1, 0, 30), 5.0, 5.0, 45.0).collect()} == {15.0}
+    turned = spark.createDataFrame([("P", 0.0, 0.0, 0.0, 30.0)], "name string, x double, y double, z double, yaw double")
+    assert flight.rig(turned).first().yaw == 0.0 and flight.rig(turned, with_heading=True).first().yaw == 30.0
+    for along, cross in ((0.0, 1.0), (1.0, -1.0)):
+        with pytest.raises(ValueError):
+            flight.serpentine(spark, flat, 80.0, along, cross)
     assert spark.createDataFrame([(0, 1.0, 1.0)], "idx int, x double, z double").transform(flight.headings).first().yaw == 0.0
 
 
