@@ -190,6 +190,34 @@ def test_baum_welch_raises_the_likelihood():
     assert model.likelihoods(sequence, lengths).sum() > -600 * math.log10(6)
 
 
+def test_expected_counts_are_those_of_whole_texts():
+    """Against a plain forward and backward pass over each text, far longer than a segment."""
+    rng = np.random.default_rng(7)
+    lengths = np.array([1, 1000, 128, 129, 300, 1, 777])
+    sequence = rng.integers(0, 6, lengths.sum()).astype(np.uint16)
+    norm = lambda x: x / x.sum(-1, keepdims=True)
+    model = markov.Model(norm(rng.random(3)), norm(rng.random((3, 3))), norm(rng.random((3, 6))))
+    starts, moves, emits, at = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6)), 0
+    for n in lengths.tolist():
+        own = sequence[at : at + n]
+        alpha, beta, scale = np.zeros((n, 3)), np.ones((n, 3)), np.zeros(n)
+        for t in range(n):
+            a = (model.start if t == 0 else alpha[t - 1] @ model.move) * model.emit[:, own[t]]
+            scale[t] = a.sum()
+            alpha[t] = a / scale[t]
+        for t in range(n - 2, -1, -1):
+            beta[t] = model.move @ (model.emit[:, own[t + 1]] * beta[t + 1]) / scale[t + 1]
+        starts += alpha[0] * beta[0]
+        for t in range(n):
+            emits[:, own[t]] += alpha[t] * beta[t]
+            if t:
+                moves += np.outer(alpha[t - 1], model.emit[:, own[t]] * beta[t] / scale[t]) * model.move
+        at += n
+    into = markov.Model.zeros(3, 6)
+    model.expected(sequence, lengths, into)
+    assert np.allclose(into[0], starts) and np.allclose(into[1] * model.move, moves) and np.allclose(into[2], emits)
+
+
 def test_markov_on_odd_rows(spark, odd, empty):
     rows = markov.score(odd).collect()
     assert len(rows) == 12 and sorted(r.n_tokens for r in rows)[:3] == [1, 1, 1]
