@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates
 
-MOST_IN_TILE = 16
+MOST_IN_TILE = 30
+AT_ONCE = 12  # 2 ** 12 subsets
 
 
 def scene_bounds(vertices: DataFrame) -> DataFrame:
@@ -87,20 +88,26 @@ def tile_meshes(selection: DataFrame) -> DataFrame:
 def powerset(tiles: DataFrame, most: int = MOST_IN_TILE) -> DataFrame:
     """i, j, k, building_indices, ground_indices, name: all subsets of a tile's meshes and what is left.
 
-    Subsets are numbered by size, then in lexical order, the empty one first. Tiles with more
-    than `most` meshes are left out here and reported by too_large, as 2 ** n rows come of each.
+    Subsets are numbered by size, then in lexical order, the empty one first. As 2 ** n rows come
+    of n meshes, a tile with more than `most` raises an error; too_large tells which they are.
+    Subsets are made by `AT_ONCE` of a tile, so no task holds them all before they are written.
     """
     n = F.size("meshes")
-    bits = F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, size(meshes))") - 1)).alias("bits")
-    chosen = lambda on: F.filter("meshes", lambda _, at: (F.expr("bits").bitwiseAND(F.call_function("shiftleft", F.lit(1), at)) != 0) == F.lit(on))
-    sets = tiles.where(n <= most).select("i", "j", "meshes", bits).select("i", "j", chosen(True).alias("building_indices"), chosen(False).alias("ground_indices"))
+    bounded = F.when(n > most, F.raise_error(F.concat(F.lit(f"more than {most} meshes in tile "), "i", F.lit(" "), "j"))).otherwise(F.col("meshes"))
+    one = F.lit(1).cast("long")
+    upper = F.explode(F.sequence(one - 1, F.call_function("shiftleft", one, F.greatest(n - AT_ONCE, F.lit(0))) - 1)).alias("upper")
+    lower = F.explode(F.sequence(one - 1, F.call_function("shiftleft", one, F.least(n, F.lit(AT_ONCE))) - 1)).alias("lower")
+    bits = (F.col("upper") * (1 << AT_ONCE) + F.col("lower")).alias("bits")
+    chosen = lambda on: F.filter("meshes", lambda _, at: (F.col("bits").bitwiseAND(F.call_function("shiftleft", one, at)) != 0) == F.lit(on))
+    spread = tiles.select("i", "j", bounded.alias("meshes")).select("i", "j", "meshes", upper).select("i", "j", "meshes", "upper", lower)
+    sets = spread.select("i", "j", "meshes", bits).select("i", "j", chosen(True).alias("building_indices"), chosen(False).alias("ground_indices"))
     order = Window.partitionBy("i", "j").orderBy(F.size("building_indices"), "building_indices")
     numbered = sets.withColumn("k", (F.row_number().over(order) - 1).cast("long"))
     return numbered.select("i", "j", "k", "building_indices", "ground_indices", F.concat_ws("_", "i", "j", "k").alias("name"))
 
 
 def too_large(tiles: DataFrame, most: int = MOST_IN_TILE) -> DataFrame:
-    """i, j, n of tiles whose subsets are not enumerated."""
+    """i, j, n of tiles with too many meshes to enumerate their subsets."""
     return tiles.where(F.size("meshes") > most).select("i", "j", F.size("meshes").alias("n"))
 
 

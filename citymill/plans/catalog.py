@@ -114,7 +114,7 @@ STATS = f"""{GRID}, stats AS (SELECT i, j, mesh, count(*) AS n, max(y) AS max_y
 SELECTED = f"""{STATS}, judged AS (SELECT *, max(max_y) OVER (PARTITION BY i, j) AS tile_max FROM stats),
 selected AS (SELECT i, j, mesh, n, max_y FROM judged CROSS JOIN (SELECT min_y AS floor_y FROM b) WHERE tile_max <= floor_y + 100e0 AND n >= 200)"""
 CHUNKS = f"""{SELECTED}, tiles AS (SELECT i, j, list_sort(list(mesh)) AS meshes FROM selected GROUP BY i, j),
-bits AS (SELECT i, j, meshes, unnest(range(1 << len(meshes))) AS bits FROM tiles WHERE len(meshes) <= 16),
+bits AS (SELECT i, j, meshes, unnest(range(1 << len(meshes))) AS bits FROM tiles),
 sets AS (SELECT i, j, list_filter(meshes, lambda m, k: ((bits >> (k - 1)) & 1) = 1) AS building_indices, list_filter(meshes, lambda m, k: ((bits >> (k - 1)) & 1) = 0) AS ground_indices FROM bits),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY i, j ORDER BY len(building_indices), building_indices) - 1 AS k FROM sets),
 chunks AS (SELECT i, j, k, building_indices, ground_indices, i || '_' || j || '_' || k AS name FROM numbered)"""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from . import tensors
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -146,8 +147,8 @@ def footprint_documents(spark: SparkSession, path: str, glob: str = "*.yaml") ->
     return _documents(spark, path, glob).mapInArrow(run, "path string, idx long, name string, height double, contour array<struct<x:double,y:double,z:double>>, error string")
 
 
-def cloud_files(spark: SparkSession, path: str, glob: str = "*.{ply,npz}", key: str = "fps_points") -> DataFrame:
-    """cloud, pid, x, y, z of PLY files (ASCII or little-endian binary) and NPZ files (array `key`, else points, xyz or pos).
+def cloud_files(spark: SparkSession, path: str, glob: str = "*.{ply,npz,pt}", key: str = "fps_points") -> DataFrame:
+    """cloud, pid, x, y, z of PLY files (ASCII or little-endian binary), NPZ files (array `key`, else points, xyz or pos) and tensor files.
 
     A file that cannot be read fails with its name; clouds in Parquet need no reader of their own.
     """
@@ -155,7 +156,7 @@ def cloud_files(spark: SparkSession, path: str, glob: str = "*.{ply,npz}", key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                xyz = ply_points(content) if content[:3] == b"ply" else npz_points(content, key)
+                xyz = ply_points(content) if content[:3] == b"ply" else tensors.points(content) if p.endswith(".pt") else npz_points(content, key)
                 if xyz.ndim != 2 or xyz.shape[1] < 3:
                     raise ValueError(f"{p}: points need three coordinates")
                 name = p.rsplit("/", 1)[-1].rsplit(".", 1)[0]

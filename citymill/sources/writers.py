@@ -6,16 +6,19 @@ document files are written by the tasks that hold their rows, one group for each
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import yaml
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from . import tensors
 
 
 def threshold_report(outcomes: DataFrame, threshold: float) -> DataFrame:
@@ -106,6 +109,31 @@ def write_ply(points: DataFrame, folder: str, binary: bool = True, coloured: boo
     return points.select("cloud", "pid", "x", "y", "z").groupBy("cloud").applyInArrow(write, "file string, bytes long, status string")
 
 
+def write_arrays(points: DataFrame, folder: str, kind: str = "npz", key: str = "fps_points") -> DataFrame:
+    """Writes each cloud (cloud, pid, x, y, z and any further number columns) as single-precision rows; file, bytes, status of each.
+
+    kind npz: an array under `key` in a compressed NPZ file; kind pt: a tensor file.
+    """
+    if kind not in ("npz", "pt"):
+        raise ValueError(f"npz or pt, not {kind!r}")
+    columns = ["x", "y", "z", *(c for c in points.columns if c not in ("cloud", "pid", "x", "y", "z"))]
+
+    def write(table: pa.Table) -> pa.Table:
+        table = table.sort_by("pid")
+        name = str(table.column("cloud")[0].as_py())
+        rows = np.column_stack([table.column(c).to_numpy().astype(np.float32) for c in columns])
+        return _written(name, os.path.join(folder, f"{name}.{kind}"), [tensors.dump(rows) if kind == "pt" else npz_bytes({key: rows})])
+
+    return points.select("cloud", "pid", *columns).groupBy("cloud").applyInArrow(write, "file string, bytes long, status string")
+
+
+def npz_bytes(arrays: dict[str, np.ndarray]) -> bytes:
+    """A compressed NPZ file of named arrays."""
+    out = io.BytesIO()
+    np.savez_compressed(out, **arrays)
+    return out.getvalue()
+
+
 def write_documents(rows: DataFrame, folder: str, name: str = "name") -> DataFrame:
     """Writes each row as YAML to {folder}/{name}.yaml; file, bytes, status of each. Arrays and structs become lists and mappings."""
 

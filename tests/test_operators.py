@@ -1,8 +1,12 @@
 """Golden models, algebraic properties and hand-written edge cases."""
 
+import io
 import itertools
 import math
+import pickle
+import pickletools
 import random
+import zipfile
 
 import numpy as np
 import pytest
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citymill.functions import scalar
 from citymill.operators import clouds, flight, metrics, pairs, solids, tiling, topology, voxels
-from citymill.sources import files, obj, writers
+from citymill.sources import files, obj, tensors, writers
 from citymill.streaming import incremental
 
 
@@ -97,9 +101,14 @@ def test_powerset_order_and_pairs(spark, n):
     assert pairs.state_pairs(chunks, with_grounds=True).count() == 2 * (3**n - 2**n)
 
 
-def test_too_large_tiles_are_reported(spark):
-    tiles = spark.createDataFrame([(0, 0, list(range(17))), (0, 1, [1])], "i int, j int, meshes array<int>")
-    assert tiling.powerset(tiles).count() == 2 and [(r.j, r.n) for r in tiling.too_large(tiles).collect()] == [(0, 17)]
+def test_large_tiles_are_whole_or_an_error(spark):
+    tiles = spark.createDataFrame([(0, 0, list(range(14))), (0, 1, [7]), (0, 2, [])], "i int, j int, meshes array<int>")
+    sets = tiling.powerset(tiles)
+    assert sets.count() == 2**14 + 2 + 1 and sets.where("j = 0").select("building_indices").distinct().count() == 2**14
+    assert [(r.k, r.building_indices, r.ground_indices) for r in sets.where("j > 0").orderBy("j", "k").collect()] == [(0, [], [7]), (1, [7], []), (0, [], [])]
+    assert [(r.j, r.n) for r in tiling.too_large(tiles, 13).collect()] == [(0, 14)]
+    with pytest.raises(Exception, match="more than 13 meshes in tile 0 0"):
+        tiling.powerset(tiles, 13).collect()
 
 
 def test_gap_is_reported(spark):
@@ -263,6 +272,18 @@ def test_documents_lists_and_clouds(spark, tmp_path):
     for binary, coloured in ((True, False), (False, False), (True, True)):
         assert writers.write_ply(cloud, str(tmp_path / "ply"), binary, coloured).collect()[0].status == "written"
         assert [tuple(r) for r in files.cloud_files(spark, str(tmp_path / "ply")).orderBy("pid").collect()] == [("c", k, float(k), 0.5, -0.25) for k in range(4)]
+    for kind in ("npz", "pt"):
+        assert writers.write_arrays(cloud, str(tmp_path / kind), kind).collect()[0].status == "written"
+        assert [tuple(r) for r in files.cloud_files(spark, str(tmp_path / kind)).orderBy("pid").collect()] == [("c", k, float(k), 0.5, -0.25) for k in range(4)]
+    wide = np.arange(12, dtype=np.float32).reshape(4, 3)
+    assert (tensors.load(tensors.dump(wide)) == wide).all() and tensors.load(tensors.dump(np.zeros((0, 3)))).shape == (0, 3)
+    names = [t[0].name for t in pickletools.genops(zipfile.ZipFile(io.BytesIO(tensors.dump(wide))).read("archive/data.pkl"))]
+    assert names[-2:] == ["REDUCE", "STOP"] and "BINPERSID" in names
+    evil = io.BytesIO()
+    with zipfile.ZipFile(evil, "w") as z:
+        z.writestr("a/data.pkl", b"cos\nsystem\n(X\x04\x00\x00\x00truetR.")
+    with pytest.raises(pickle.UnpicklingError):
+        tensors.load(evil.getvalue())
     np.savez(tmp_path / "c.npz", fps_points=np.ones((3, 3), np.float32))
     assert files.cloud_files(spark, str(tmp_path / "c.npz")).count() == 3
 
