@@ -1,22 +1,25 @@
-"""Toxicity from the nearest labelled examples by exact weighted TF-IDF cosine over all their words.
+"""Toxicity from the nearest labelled examples by exact weighted TF-IDF cosine in a block-max index.
 
-1. Examples: at most `SAMPLE` labelled training rows, by a hash of their id; near copies among
-   them (an equal coordinate of a small MinHash) count once.
+1. Examples: at most `SAMPLE` labelled training rows, by a hash of their id; exact copies of a
+   text among them count once, with the label of the smallest id.
 2. Terms: all words of the examples, clean and toxic; none is left out. A word weighs its
    inverse document frequency times one plus the log-likelihood ratio by which it leans to
    toxic examples (plus nothing where it does not).
 3. Document frequencies come from all documents, not from the sample.
-4. The examples' unit vectors are posted by term; the `DENSE` most common terms, found in most
-   texts, are a matrix instead. Every example is compared with every text; matrix products run
-   in single precision, and all examples that can be among the k best are compared again in
-   double, in one order of terms, so neighbours are exact.
+4. The examples' unit vectors are posted by term, in blocks of `BLOCK` examples that lie close
+   together. Postings of rare terms are added up at once; for the `DENSE` most common terms,
+   found in most texts, each block holds every term's largest weight. What these allow a block
+   at most, with its best sum of rare terms, is its bound. The `FIRST` blocks of the highest
+   bounds give a text its k-th best similarity so far, and only blocks whose bound reaches that
+   are opened. Sums run in single precision, and all examples that can be among the k best are
+   compared again in double, in one order of terms, so neighbours are those of a full scan.
 5. The score is the similarity-weighted vote of the neighbours, smoothed towards the share of
    label 1 among the examples. Neighbours are returned as evidence.
 
 Null or empty text, and text without a word of any example, has no neighbour and takes the share
 of label 1 among examples without a word that leans to toxic by `LIFT` and `GAIN`. Without any
 labelled row the share is 0. Very long texts are read whole. Repeated rows score alike; ties in
-similarity go to the example first in order; a doc_id that has several labels counts as toxic if
+similarity go to the smaller doc_id; a doc_id that has several labels counts as toxic if
 any is; null labels and null ids take no part in training. Extra columns are ignored, or kept by
 `judge`. Memory grows with the words of the sample (12 bytes a word and example, twice).
 """
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,23 +42,15 @@ from . import common
 SAMPLE = 6_000
 GAIN = 18.0
 LIFT = 5.0  # times as common among toxic examples as among others, at least
-BLOCK = 64
+BLOCK = 64  # examples
+FIRST = 3  # blocks that give the first neighbours
 DENSE = 1_024  # terms kept as a matrix
-ROWS = 128  # texts compared at once
+ROWS = 512  # texts compared at once
 MARGIN = 1e-4  # more than single precision loses in a product of unit vectors
 NEIGHBOURS = 15
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _sketch(words: list[str], size: int = 4) -> list[int]:
-    """Smallest hashes of 3-word shingles under a few permutations."""
-    from zlib import crc32
-
-    shingles = {crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))}
-    base = np.fromiter(shingles, np.uint64, len(shingles))
-    return [int(((base * np.uint64(2 * k + 0x9E3779B1)) ^ (base >> np.uint64(7 + k)) & np.uint64(0xFFFFFFFF)).min() & np.uint64(0x7FFFFFFFFFFFFFFF)) for k in range(size)]
-
-
 class Index:
     """Inverted index over the examples' unit vectors.
 
@@ -69,10 +65,26 @@ class Index:
         row = np.repeat(np.arange(len(ids)), np.diff(starts))
         norm = np.sqrt(np.bincount(row, weights * weights, len(ids)))
         self.weights = weights / norm[row]
+        self._place(_close_together(self._matrix()))
         self._build()
 
+    def _matrix(self) -> np.ndarray:
+        """(terms, examples): weights of the most common terms."""
+        out = np.zeros((min(DENSE, len(self.words)), len(self.ids)), np.float32)
+        row, often = np.repeat(np.arange(len(self.ids)), np.diff(self.starts)), self.of < len(out)
+        out[self.of[often], row[often]] = self.weights[often]
+        return out
+
+    def _place(self, order: np.ndarray) -> None:
+        """Puts the examples into this order."""
+        sizes = np.diff(self.starts)[order]
+        taken = np.arange(sizes.sum()) + np.repeat(self.starts[:-1][order] - (np.cumsum(sizes) - sizes), sizes)
+        self.ids, self.labels = [self.ids[k] for k in order.tolist()], self.labels[order]
+        self.of, self.weights = self.of[taken], self.weights[taken]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "dense", "at", "rows", "values")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "dense", "most", "begins", "at", "rows", "values")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -85,9 +97,9 @@ class Index:
         order = np.argsort(self.of, kind="stable")
         self.rows, self.values = row[order], self.weights[order]
         self.at = np.concatenate([[0], np.cumsum(np.bincount(self.of, minlength=len(self.words)))]).astype(np.int64)
-        self.dense = np.zeros((min(DENSE, len(self.words)), len(self.ids)), np.float32)
-        common_ = self.of < len(self.dense)
-        self.dense[self.of[common_], row[common_]] = self.weights[common_]
+        self.dense = self._matrix()
+        self.begins = np.arange(0, len(self.ids), BLOCK)
+        self.most = np.maximum.reduceat(self.dense, self.begins, axis=1) if len(self.ids) else self.dense
 
     @property
     def postings(self) -> dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]:
@@ -126,8 +138,7 @@ class Index:
         for k, (terms, weights) in enumerate(own):
             few = int(np.searchsorted(terms, m))
             matrix[k, terms[:few]] = weights[:few]
-        scores = matrix @ self.dense
-        whole, out = np.zeros(len(self.words)), []
+        scores = np.zeros((len(texts), n), np.float32)  # of rare terms
         for k, (terms, weights) in enumerate(own):
             few = int(np.searchsorted(terms, m))
             start = self.at[terms[few:]]
@@ -135,17 +146,44 @@ class Index:
             total = int(size.sum())
             if total:
                 entries = np.arange(total) + np.repeat(start - (np.cumsum(size) - size), size)
-                scores[k] += np.bincount(self.rows[entries], self.values[entries] * np.repeat(weights[few:], size), n).astype(np.float32)
+                scores[k] = np.bincount(self.rows[entries], self.values[entries] * np.repeat(weights[few:], size), n)
+        self.open(matrix, scores)
+        whole, out = np.zeros(len(self.words)), []
+        for k, (terms, weights) in enumerate(own):
             least = max(0.0, float(np.partition(scores[k], n - self.k)[n - self.k]) - MARGIN) if n > self.k else 0.0
             whole[terms] = weights
             found = []
             for r in np.flatnonzero(scores[k] >= least if least else scores[k] > 0).tolist():
                 a, b = self.starts[r], self.starts[r + 1]
-                found.append((-float((whole[self.of[a:b]] * self.weights[a:b]).sum()), r))
+                found.append((-float((whole[self.of[a:b]] * self.weights[a:b]).sum()), self.ids[r], r))
             whole[terms] = 0
-            out.append([(-s, r) for s, r in sorted(found)[: self.k]])
+            out.append([(-s, r) for s, _, r in sorted(found)[: self.k]])
         return out
 
+    def open(self, matrix: np.ndarray, scores: np.ndarray) -> float:
+        """Completes scores by the common terms in the blocks that can hold a neighbour, and lowers them to -1 elsewhere; the share of blocks opened."""
+        n, blocks = scores.shape[1], len(self.begins)
+        bounds = np.maximum.reduceat(scores, self.begins, axis=1) + matrix @ self.most + np.float32(MARGIN)
+        opened = np.zeros((len(matrix), blocks), bool)
+
+        def add(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)).tolist():
+                at, rows = slice(b * BLOCK, min(n, (b + 1) * BLOCK)), np.flatnonzero(wanted[:, b])
+                scores[rows, at] += matrix[rows] @ self.dense[:, at]
+            opened[wanted] = True
+
+        first = min(blocks, max(FIRST, -(-2 * self.k // BLOCK)))
+        best = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        wanted = np.zeros_like(opened)
+        np.put_along_axis(wanted, best, True, 1)
+        add(wanted)
+        places = (best[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(len(matrix), -1)
+        known = np.where(places < n, np.take_along_axis(scores, np.minimum(places, n - 1), 1), np.float32(-1))
+        least = np.partition(known, known.shape[1] - self.k, axis=1)[:, known.shape[1] - self.k]
+        add((bounds >= least[:, None] - np.float32(MARGIN)) & ~opened & (bounds > 2 * MARGIN))
+        scores[~np.repeat(opened, np.diff(np.append(self.begins, n)), axis=1)] = -1
+        return float(opened.mean())
+
     def score(self, found: list[tuple[float, int]], smooth: float = 0.25) -> float:
         if not found:
             return self.bare
@@ -153,8 +191,25 @@ class Index:
         return float((sum(s * self.labels[r] for s, r in found) + smooth * self.overall) / (total + smooth))
 
 
+def _close_together(dense: np.ndarray) -> np.ndarray:
+    """An order of the examples in which those of a block are alike: halves between two far apart, again and again."""
+    left, out = [np.arange(dense.shape[1])], [np.zeros(0, np.int64)]
+    while left:
+        own = left.pop()
+        if len(own) <= BLOCK:
+            out.append(own)
+            continue
+        x = dense[:, own]
+        one = x[:, np.argmin(x.mean(1) @ x)]
+        two = x[:, np.argmin(one @ x)]
+        order = own[np.argsort((two - one) @ x, kind="stable")]
+        half = max(BLOCK, len(own) // 2 // BLOCK * BLOCK)
+        left += [order[half:], order[:half]]
+    return np.concatenate(out)
+
+
 def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, toxic, sketch, words and their times of at most `sample` training rows."""
+    """doc_id, toxic, copy (a hash of the text), words and their times of at most `sample` training rows."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (common.fold_of(F.col("doc_id"), 5) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` rows of two numbers
@@ -164,10 +219,10 @@ def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
         for doc_id, text, label in zip(batch.column("doc_id").to_pylist(), common.texts_of(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
             found = LETTERS.findall(text.lower())
             counts = Counter(found)
-            out.append({"doc_id": doc_id, "toxic": int(label), "sketch": _sketch(found), "words": list(counts), "times": list(counts.values())})
-        return pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("sketch", pa.list_(pa.int64())), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))]))
+            out.append({"doc_id": doc_id, "toxic": int(label), "copy": xxhash.xxh64_intdigest(text) - (1 << 63), "words": list(counts), "times": list(counts.values())})
+        return pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("copy", pa.int64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))]))
 
-    return common.map_batches(rows, work, "doc_id long, toxic int, sketch array<long>, words array<string>, times array<int>").checkpoint()
+    return common.map_batches(rows, work, "doc_id long, toxic int, copy long, words array<string>, times array<int>").checkpoint()
 
 
 def _gains(n1: np.ndarray, n0: np.ndarray, all1: int, all0: int) -> np.ndarray:
@@ -182,15 +237,13 @@ def _gains(n1: np.ndarray, n0: np.ndarray, all1: int, all0: int) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     """The index over the training examples of docs and labels."""
-    rows = _examples(docs, labels, sample).dropDuplicates(["doc_id", "sketch"]).toArrow()  # bounded by the sample
-    seen: set[tuple[int, int]] = set()
+    rows = _examples(docs, labels, sample).dropDuplicates(["doc_id", "copy"]).toArrow()  # bounded by the sample
+    seen: set[int] = set()
     kept: dict[int, tuple[int, int]] = {}  # label and place
-    marked = zip(rows["doc_id"].to_pylist(), rows["sketch"].to_pylist(), rows["toxic"].to_pylist(), range(len(rows)), strict=True)
-    for doc_id, sketch, label, place in sorted(marked):
-        marks = set(enumerate(sketch))
-        if not marks & seen and doc_id not in kept:
+    for doc_id, copy, label, place in sorted(zip(rows["doc_id"].to_pylist(), rows["copy"].to_pylist(), rows["toxic"].to_pylist(), range(len(rows)), strict=True)):
+        if copy not in seen and doc_id not in kept:
             kept[doc_id] = (label, place)
-        seen |= marks
+        seen.add(copy)
     ids, label = sorted(kept), np.array([kept[i][0] for i in sorted(kept)], np.int64)
     all1, all0 = int(label.sum()), int(len(label) - label.sum())
     taken = rows.select(["words", "times"]).take(pa.array([kept[i][1] for i in ids], pa.int64())).combine_chunks()

@@ -320,6 +320,28 @@ def test_toxicity_on_held_out_labels(spark):
         assert [round(s, 9) for s, _ in index.nearest(text)] == [round(s, 9) for s, _ in best]
 
 
+def test_opened_blocks_hold_all_neighbours(spark):
+    """Judged rows against a plain scan of all examples, with repeated rows, ties and a very long text."""
+    rng = np.random.default_rng(9)
+    topics = [["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(60)] for _ in range(8)]
+    rows = [(i, " ".join(rng.choice(topics[i % 8], int(rng.integers(5, 60))))) for i in range(900)]
+    rows += [(2000, rows[3][1]), (2000, rows[3][1]), (2001, " ".join(rng.choice(sum(topics, []), 30_000)))]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(900)], "doc_id long, toxic int")
+    index = toxicity.train(docs, labels)
+    assert len(index.ids) > 8 * toxicity.BLOCK
+    whole = np.zeros((len(index.ids), len(index.words)))
+    for r in range(len(index.ids)):
+        whole[r, index.of[index.starts[r] : index.starts[r + 1]]] = index.weights[index.starts[r] : index.starts[r + 1]]
+    for row in toxicity.judge(docs, index).collect():
+        vector = np.zeros(len(index.words))
+        for t, w in index.unit(index.counts(row.text)).items():
+            vector[t] = w
+        scores = whole @ vector
+        best = sorted(((-round(x, 9), i) for x, i in zip(scores.tolist(), index.ids, strict=True) if x > 0))[: index.k]
+        assert [(-round(n.similarity, 9), n.doc_id) for n in row.neighbours] == best
+
+
 def test_toxicity_counts_every_word(spark):
     rng = np.random.default_rng(6)
     plain = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(400)]
