@@ -174,10 +174,7 @@ def _agree(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """rep, comp after the links (a, b) between reps merged their components."""
     ends = links.join(labels.select(F.col("rep").alias("a"), F.col("comp").alias("ca")), "a").join(labels.select(F.col("rep").alias("b"), F.col("comp").alias("cb")), "b")
-    edges = common.saved(ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-    if not edges.count():
-        return labels
-    joined = smallest_labels(edges)
+    joined = smallest_labels(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     moved = joined.where("node <> label").select(F.col("node").alias("comp"), "label")
     return common.saved(common.look_up(labels, moved, ["comp"], "left").select("rep", F.coalesce("label", "comp").alias("comp")))
 

@@ -466,6 +466,22 @@ def test_components_of_a_chain(spark):
     assert {r.node: r.label for r in components.smallest_labels(edges).collect()} == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_in_stars_and_in_one_task(spark):
+    """Edges that a task cannot hold at once give the labels of a plain walk, as those that it can."""
+    draw = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in draw.integers(0, 150, (110, 2))] + [(7, 7), (500, 500), (3, 9), (9, 3), (3, 9)]
+    want = {x: x for p in pairs for x in p if p[0] != p[1]}
+    while any(want[a] != want[b] for a, b in pairs if a != b):
+        for a, b in pairs:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    for together in (4, components.TOGETHER):
+        rows = components.smallest_labels(edges, together).collect()
+        assert {r.node: r.label for r in rows} == want and len(rows) == len(want)
+    assert not components.smallest_labels(edges.limit(0)).count()
+
+
 # 8
 
 
