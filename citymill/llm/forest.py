@@ -6,8 +6,9 @@
    that can be among the nearest: one more than asked for, smallest first. That loses nothing.
 3. A query descends all trees through one priority queue, by the summed squares of the margins
    it is on the wrong side of, until the leaves it has opened hold `share` times the placements of
-   one tree; as trees overlap, a share of 1 opens well under all vectors. Uniformly spread vectors, as in the test tables, need a large share; vectors that
-   cluster need a small one.
+   one tree, and `LEAST_HELD` of them at least, so that a table of fewer rows is opened more
+   widely, up to all of it. As trees overlap, a share of 1 opens well under all vectors. Uniformly
+   spread vectors, as in the test tables, need a large share; vectors that cluster need a small one.
 4. Leaves, cut into blocks of at most `BLOCK` vectors, meet the queries that opened them. A block
    returns each query's nearest few with exact cosines in double precision; the best of all
    blocks are the result. Nothing larger than a block and its queries is in one task.

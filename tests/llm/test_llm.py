@@ -278,6 +278,21 @@ def test_forest_recall(spark, sf_dir):
     assert set(got) == {i for i, _ in rows if i % 50 == 0} and hits >= 0.9 * 5 * len(got)
 
 
+def test_forest_recall_above_the_least_held(spark):
+    table = np.random.default_rng(3).normal(size=(2 * forest.LEAST_HELD, 32)).astype(np.float32)
+    rows = vectors(spark, [(i, v.tolist()) for i, v in enumerate(table)])
+    got = collections.defaultdict(set)
+    for r in forest.nearest(rows, rows.where("id % 50 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    unit = table.astype(float) / np.linalg.norm(table.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for q, found in got.items():
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(found & set(np.argsort(-score)[:5].tolist()))
+    assert set(got) == set(range(0, len(table), 50)) and hits >= 0.9 * 5 * len(got)
+
+
 def test_forest_ties_copies_and_useless_vectors(spark):
     same = [(i, [1.0, 0.0, 0.5]) for i in range(40)]
     rest = [(100, None), (101, [0.0, 0.0, 0.0]), (102, [float("nan"), 1.0, 0.0]), (103, [None, 1.0, 0.0]), (104, [float("inf"), 1.0, 0.0]), (150, [0.9, 0.1, 0.5]), (150, [0.9, 0.1, 0.5]), (None, [1.0, 1.0, 1.0]), (151, [2.0, 0.0, 1.0])]
