@@ -1,4 +1,4 @@
-"""Whole groups in large Arrow tables: one call of a kernel for many small groups."""
+"""Rows brought together: joins of made rows by shuffle, and whole groups in large Arrow tables for kernels."""
 
 from __future__ import annotations
 
@@ -9,6 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
+def join_made(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """An equi-join by shuffle and merge, never by broadcast.
+
+    The size of rows made by explode is estimated by that of the rows they come from, so a side
+    far too large to broadcast can look small; nothing here counts on that estimate.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def map_groups(rows: DataFrame, key: str, work: Callable[[pa.Table], pa.Table], schema: str, rows_at_once: int = 200_000, most: int = 5_000_000) -> DataFrame:
     """work over tables that hold whole groups of key, each table of about rows_at_once rows.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates, scalar
-from .grouping import codes_of, groups_of, map_groups
+from .grouping import codes_of, groups_of, join_made, map_groups
 
 
 def triangles(faces: DataFrame) -> DataFrame:
@@ -91,8 +91,8 @@ def bottom_edges(vertices: DataFrame, faces: DataFrame, eps: float = predicates.
     as seen from above. vertices: mesh, vid, x, y, z.
     """
     low = vertices.groupBy("mesh").agg(F.min("y").alias("low"))
-    placed = vertices.join(low, "mesh").select("mesh", "vid", "x", "z", predicates.near_bottom(F.col("y"), F.col("low"), eps).alias("bottom"))
-    corners = triangles(faces).select("mesh", "fid", "part", F.posexplode("idx").alias("k", "vid")).join(placed, ["mesh", "vid"])
+    placed = join_made(vertices, low, "mesh").select("mesh", "vid", "x", "z", predicates.near_bottom(F.col("y"), F.col("low"), eps).alias("bottom"))
+    corners = join_made(triangles(faces).select("mesh", "fid", "part", F.posexplode("idx").alias("k", "vid")), placed, ["mesh", "vid"])
     flat = corners.groupBy("mesh", "fid", "part").agg(F.bool_or("bottom").alias("bottom"), F.sort_array(F.collect_list(F.struct("k", "x", "z", "vid"))).alias("c")).where("bottom")
     area = scalar.cross_2d(F.col("c")[0]["x"], F.col("c")[0]["z"], F.col("c")[1]["x"], F.col("c")[1]["z"], F.col("c")[2]["x"], F.col("c")[2]["z"])
     kept = flat.where(F.abs(area) / 2 > eps).select("mesh", F.concat_ws("_", "fid", "part").alias("fid"), F.transform("c", lambda s: s["vid"]).alias("idx"))
@@ -102,14 +102,14 @@ def bottom_edges(vertices: DataFrame, faces: DataFrame, eps: float = predicates.
 def footprints(vertices: DataFrame, faces: DataFrame, eps: float = predicates.EPS) -> DataFrame:
     """mesh, component, height, contour: the largest outline of each component's bottom, closed, and its height."""
     parts = components(faces)
-    placed = vertices.join(parts, ["mesh", "vid"])
+    placed = join_made(vertices, parts, ["mesh", "vid"])
     named = placed.select(F.struct("mesh", "component").alias("mesh"), "vid", "x", "y", "z")
     owner = parts.select("mesh", "vid", "component")
-    own_faces = faces.withColumn("vid", F.col("idx")[0]).join(owner, ["mesh", "vid"]).select(F.struct("mesh", "component").alias("mesh"), "fid", "idx")
+    own_faces = join_made(faces.withColumn("vid", F.col("idx")[0]), owner, ["mesh", "vid"]).select(F.struct("mesh", "component").alias("mesh"), "fid", "idx")
     edges = bottom_edges(named, own_faces, eps)
     height = named.groupBy("mesh").agg((F.max("y") - F.min("y")).alias("height"))
     at = lambda end: named.select("mesh", F.col("vid").alias(end), F.struct("x", "y", "z").alias(f"p{end}"))
-    rows = edges.join(at("u"), ["mesh", "u"]).join(at("v"), ["mesh", "v"]).join(height, "mesh")
+    rows = join_made(join_made(join_made(edges, at("u"), ["mesh", "u"]), at("v"), ["mesh", "v"]), height, "mesh")
     kind = vertices.select("mesh").schema["mesh"].dataType.simpleString()
     point = pa.struct([("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64())])
 

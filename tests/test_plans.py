@@ -48,3 +48,10 @@ def test_entry_works_without_the_removable_part(tmp_path, gone):
             (shutil.rmtree if (copy / name).is_dir() else Path.unlink)(copy / name)
     code = "import __spark_entry__ as e; assert len(e.queries()) > 60 and set(e.oracle_sql()) <= set(e.queries()); assert not any(n.startswith('op1') or n == 'pipeline' for n in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": str(copy)})
+
+
+@pytest.mark.parametrize("name", ["bottom_contour"])
+def test_made_rows_are_not_broadcast(spark, sf_dir, name):
+    """The estimated size of exploded rows says nothing about their real size."""
+    plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
