@@ -135,11 +135,29 @@ def prism_faces(entries: DataFrame, key: str = "mesh") -> DataFrame:
 
     The ring runs against the clock in (x, z); all faces then look outwards with y up.
     """
+    return entries.where("size(triangles) > 0").select(key, F.posexplode(_prism_faces()).alias("fid", "idx"))
+
+
+def _prism_faces() -> Column:
     n = F.size("ring")
     floor = F.transform("triangles", lambda t: F.array(t[0], t[1], t[2]))
     roof = F.transform("triangles", lambda t: F.array(t[2] + n, t[1] + n, t[0] + n))
     walls = F.transform("ring", lambda _, i: F.array(i, i + n, (i + 1) % n + n, (i + 1) % n))
-    return entries.where("size(triangles) > 0").select(key, F.posexplode(F.concat(floor, roof, walls)).alias("fid", "idx"))
+    return F.concat(floor, roof, walls)
+
+
+def prism_triangles(entries: DataFrame, key: str = "mesh") -> DataFrame:
+    """key, fid, idx, ax .. cz: prism_faces as triangles with their corners; fid is that of the face and the place in its fan.
+
+    An entry holds its whole ring, so each makes its own corners: nothing is joined or shuffled.
+    """
+    n = F.size("ring")
+    faces = entries.where("size(triangles) > 0").select(key, "ring", "bottom", "height", F.posexplode(_prism_faces()).alias("_face", "_idx"))
+    fans = F.transform(F.sequence(F.lit(2), F.size("_idx") - 1), lambda i: F.array(F.col("_idx")[0], F.get("_idx", i - 1), F.get("_idx", i)))
+    parts = faces.select("*", F.posexplode(fans).alias("_part", "idx"))
+    corner = [parts["idx"][k] for k in range(3)]
+    place = {"x": lambda i: F.get("ring", i % n)["x"], "y": lambda i: F.when(i < n, F.col("bottom")).otherwise(F.col("bottom") + F.col("height")), "z": lambda i: F.get("ring", i % n)["z"]}
+    return parts.select(key, F.concat_ws("_", "_face", "_part").alias("fid"), "idx", *[place[a](i).alias(f"{p}{a}") for p, i in zip("abc", corner, strict=True) for a in "xyz"])
 
 
 def box(low: tuple[float, float, float], high: tuple[float, float, float], open_top: bool = False) -> tuple[list[tuple[float, float, float]], list[list[int]]]:
