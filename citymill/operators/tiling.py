@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates
+from .grouping import join_made
 
 MOST_IN_TILE = 30
 AT_ONCE = 12  # 2 ** 12 subsets
@@ -154,9 +155,9 @@ def models_named(models: DataFrame, names: DataFrame) -> DataFrame:
 def faces_in_box(faces: DataFrame, vertices: DataFrame, low: dict[str, float], high: dict[str, float], rule: str = "any") -> DataFrame:
     """Faces (mesh, fid, idx) with any or all of their vertices (mesh, vid, x, y, z) in a closed box."""
     inside = predicates.in_box({a: F.col(a) for a in low}, {a: F.lit(v) for a, v in low.items()}, {a: F.lit(v) for a, v in high.items()})
-    corners = faces.select("mesh", "fid", F.explode("idx").alias("vid")).join(vertices.select("mesh", "vid", inside.alias("inside")), ["mesh", "vid"])
+    corners = join_made(faces.select("mesh", "fid", F.explode("idx").alias("vid")), vertices.select("mesh", "vid", inside.alias("inside")), ["mesh", "vid"])
     kept = corners.groupBy("mesh", "fid").agg((F.bool_or if rule == "any" else F.bool_and)("inside").alias("kept")).where("kept").select("mesh", "fid")
-    return faces.join(kept, ["mesh", "fid"], "left_semi")
+    return join_made(faces, kept, ["mesh", "fid"], "left_semi")
 
 
 def meshes_inside(vertices: DataFrame, low: dict[str, float], high: dict[str, float]) -> DataFrame:
