@@ -146,18 +146,30 @@ def sharp_edges(vertices: DataFrame, faces: DataFrame, degrees: float = 15.0) ->
 
     Edges of one triangle only have no angle and are left out.
     """
-    at = lambda k: vertices.select("mesh", F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{a}{k}") for a in "xyz"])
-    flat = triangles(faces).select("mesh", F.concat_ws("_", "fid", "part").alias("fid"), "idx", *[F.col("idx")[k].alias(f"v{k}") for k in range(3)])
-    placed = flat.join(at(0), ["mesh", "v0"]).join(at(1), ["mesh", "v1"]).join(at(2), ["mesh", "v2"])
-    e, f = ([F.col(f"{a}{k}") - F.col(f"{a}0") for a in "xyz"] for k in (1, 2))
+    at = lambda k, p: vertices.select("mesh", F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{p}{a}") for a in "xyz"])
+    placed = triangles(faces).select("mesh", F.concat_ws("_", "fid", "part").alias("fid"), "idx", *[F.col("idx")[k].alias(f"v{k}") for k in range(3)])
+    for k, p in enumerate("abc"):
+        placed = join_made(placed, at(k, p), ["mesh", f"v{k}"])
+    return sharp_edges_of(placed, degrees).select("mesh", "u", "v", "angle", "nx", "ny", "nz")
+
+
+def sharp_edges_of(placed: DataFrame, degrees: float = 15.0) -> DataFrame:
+    """sharp_edges of triangles with their corners (mesh, fid, idx, ax .. cz), with the edges' ends ux .. vz besides.
+
+    Each edge takes its triangle's normal along, so edges are shuffled once and nothing is joined.
+    """
+    e, f = ([F.col(f"{p}{a}") - F.col(f"a{a}") for a in "xyz"] for p in "bc")
     normal = (e[1] * f[2] - e[2] * f[1], e[2] * f[0] - e[0] * f[2], e[0] * f[1] - e[1] * f[0])
     length = scalar.distance(*normal)
-    with_normal = placed.select("mesh", "fid", "idx", *[F.when(length > 0, n / F.when(length > 0, length)).otherwise(0.0).alias(f"n{a}") for n, a in zip(normal, "xyz", strict=True)])
-    edges = face_edges(with_normal.select("mesh", "fid", "idx")).join(with_normal.drop("idx"), ["mesh", "fid"])
-    pairs = edges.groupBy("mesh", "u", "v").agg(F.sort_array(F.collect_list(F.struct("fid", "nx", "ny", "nz"))).alias("s")).where(F.size("s") == 2)
+    with_normal = placed.select("*", *[F.when(length > 0, n / F.when(length > 0, length)).otherwise(0.0).alias(f"n{a}") for n, a in zip(normal, "xyz", strict=True)])
+    corner = lambda p: F.struct(*[F.col(f"{p}{a}").alias(a) for a in "xyz"])
+    ends = [F.struct(F.least(F.col("idx")[i], F.col("idx")[k]).alias("u"), F.greatest(F.col("idx")[i], F.col("idx")[k]).alias("v"), F.when(F.col("idx")[i] <= F.col("idx")[k], corner(p)).otherwise(corner(q)).alias("pu"), F.when(F.col("idx")[i] <= F.col("idx")[k], corner(q)).otherwise(corner(p)).alias("pv")) for i, k, p, q in ((0, 1, "a", "b"), (1, 2, "b", "c"), (2, 0, "c", "a"))]
+    edges = with_normal.select("mesh", "fid", "nx", "ny", "nz", F.explode(F.array(*ends)).alias("e")).select("mesh", "fid", "nx", "ny", "nz", "e.*")
+    pairs = edges.groupBy("mesh", "u", "v").agg(F.sort_array(F.collect_list(F.struct("fid", "nx", "ny", "nz"))).alias("s"), F.min("pu").alias("pu"), F.min("pv").alias("pv")).where(F.size("s") == 2)
     one, two = ([F.col("s")[k][f"n{a}"] for a in "xyz"] for k in (0, 1))
     mean = scalar.edge_normal(tuple(one), tuple(two))
-    return pairs.select("mesh", "u", "v", scalar.angle_between(tuple(one), tuple(two)).alias("angle"), *[m.alias(f"n{a}") for m, a in zip(mean, "xyz", strict=True)]).where(F.col("angle") > degrees)
+    found = pairs.select("mesh", "u", "v", scalar.angle_between(tuple(one), tuple(two)).alias("angle"), *[m.alias(f"n{a}") for m, a in zip(mean, "xyz", strict=True)], *[F.col(f"p{p}.{a}").alias(f"{p}{a}") for p in "uv" for a in "xyz"])
+    return found.where(F.col("angle") > degrees)
 
 
 def edge_points(edges: DataFrame, m: int) -> DataFrame:
@@ -173,14 +185,20 @@ def sharp_samples(vertices: DataFrame, sharp: DataFrame, wanted: int, seed: int
     All distinct ends come first. What is missing is spread over the edges: with more edges than
     missing points a subset by hash gets one point each, else each edge gets its share.
     """
-    at = lambda end, p: vertices.select("mesh", F.col("vid").alias(end), *[F.col(a).alias(f"{p}{a}") for a in "xyz"])
+    at = lambda end: vertices.select("mesh", F.col("vid").alias(end), *[F.col(a).alias(f"{end}{a}") for a in "xyz"])
+    return samples_between(join_made(join_made(sharp, at("u"), ["mesh", "u"]), at("v"), ["mesh", "v"]), wanted, seed)
+
+
+def samples_between(sharp: DataFrame, wanted: int, seed: int = 1) -> DataFrame:
+    """sharp_samples of sharp edges with their ends (ux .. vz)."""
     normals = [f"n{a}" for a in "xyz"]
-    placed = sharp.join(at("u", "a"), ["mesh", "u"]).join(at("v", "b"), ["mesh", "v"])
+    placed = sharp.withColumnsRenamed({f"{end}{a}": f"{p}{a}" for end, p in (("u", "a"), ("v", "b")) for a in "xyz"})
     ends = placed.select("mesh", F.explode(F.array(*[F.struct(F.col(e).alias("vid"), *[F.col(f"{p}{a}").alias(a) for a in "xyz"], *normals) for e, p in (("u", "a"), ("v", "b"))])).alias("e")).select("mesh", "e.*")
     known = ends.groupBy("mesh", "vid").agg(F.min(F.struct("x", "y", "z", *normals)).alias("p")).select("mesh", "p.*")
     by_draw = Window.partitionBy("mesh").orderBy(F.xxhash64(F.lit(seed), "u", "v"), "u", "v")
     counts = known.groupBy("mesh").agg(F.count("*").alias("_known"))
-    ranked = placed.withColumn("_at", F.row_number().over(by_draw)).withColumn("_edges", F.count("*").over(Window.partitionBy("mesh"))).join(counts, "mesh")
+    ranked = placed.withColumn("_at", F.row_number().over(by_draw)).withColumn("_edges", F.count("*").over(Window.partitionBy("mesh")))
+    ranked = join_made(ranked, counts, "mesh")
     missing = F.greatest(F.lit(wanted) - F.col("_known"), F.lit(0))
     share = (F.floor(missing / F.col("_edges")) + F.when(F.col("_at") <= missing % F.col("_edges"), 1).otherwise(0)).cast("int")
     spread = ranked.withColumn("_m", share).where("_m > 0").withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_m"))))
