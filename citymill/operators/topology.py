@@ -41,10 +41,10 @@ def loose(vertices: DataFrame, lines: DataFrame, faces: DataFrame) -> DataFrame:
     edges = face_edges(faces).select("mesh", "u", "v").distinct()
     ends = lines.select("mesh", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     used = ends.select("mesh", F.explode(F.array("u", "v")).alias("vid")).union(faces.select("mesh", F.explode("idx").alias("vid"))).distinct()
-    points = vertices.select("mesh", "vid").distinct().join(used, ["mesh", "vid"], "left_anti").groupBy("mesh").agg(F.count("*").alias("loose_points"))
-    wires = ends.join(edges, ["mesh", "u", "v"], "left_anti").groupBy("mesh").agg(F.count("*").alias("loose_lines"))
+    points = join_made(vertices.select("mesh", "vid").distinct(), used, ["mesh", "vid"], "left_anti").groupBy("mesh").agg(F.count("*").alias("loose_points"))
+    wires = join_made(ends, edges, ["mesh", "u", "v"], "left_anti").groupBy("mesh").agg(F.count("*").alias("loose_lines"))
     meshes = vertices.select("mesh").distinct()
-    found = meshes.join(points, "mesh", "left").join(wires, "mesh", "left").na.fill(0, ["loose_points", "loose_lines"])
+    found = join_made(join_made(meshes, points, "mesh", "left"), wires, "mesh", "left").na.fill(0, ["loose_points", "loose_lines"])
     return found.withColumn("has_loose", (F.col("loose_points") > 0) | (F.col("loose_lines") > 0))
 
 
