@@ -8,8 +8,10 @@ So the emission table is bounded (at most 1 / FREQUENT + SHAPES + 1 columns) whi
 all words, of all training texts, are used.
 
 Steps. (1) Word counts, packed by hash bucket, from all training texts. (2) Token classes of
-every text, packed by chunk of texts, in a checkpoint. (3) Start: a mixture over a bounded
-sample of `SAMPLE` whole training texts. (4) `ROUNDS` Baum-Welch rounds over all training texts:
+every text, packed by chunk of texts, in a checkpoint. (3) Start: all training texts are dealt to
+`GROUPS` groups by the class that stands out most in them, a mixture is fitted to the groups' class
+counts, then `FITS` rounds of EM for that mixture go over all training texts, each text on its own.
+Nothing is sampled. (4) `ROUNDS` Baum-Welch rounds over all training texts:
 exact expected counts of whole texts, summed across partitions in a tree. What enters each
 segment of `SEGMENT` tokens is kept on the way forward, and the way back goes segment by
 segment, so memory is bounded and no message between segments is lost.
@@ -32,7 +34,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +42,10 @@ from . import common
 FREQUENT = 2e-5
 SHAPES = 1024
 STATES = 8
-SAMPLE = 3_000
+GROUPS = 64
+FITS = 3
 ROUNDS = 2
+TOKENS_AT_ONCE = 1 << 18
 SEGMENT = 128  # tokens whose messages are held at once
 STEPPED = 1_024  # texts in step
 CHUNK_DOCS = 4_096
@@ -255,6 +258,29 @@ class Model:
             for j in range(k):
                 into[2][j] += np.bincount(seen, gamma[:, j], into[2].shape[1])
 
+    def shared_out(self, sequence: np.ndarray, lengths: np.ndarray, into: np.ndarray) -> None:
+        """Adds the classes of each text to into (K, classes) by the shares of the states in it, one state for a whole text."""
+        logs, ends = np.log(self.by_class), np.cumsum(lengths)
+        at = 0
+        while at < len(lengths):  # texts of about TOKENS_AT_ONCE tokens; a longer one alone in pieces
+            first = ends[at] - lengths[at]
+            to = max(at + 1, int(np.searchsorted(ends, first + TOKENS_AT_ONCE, "right")))
+            fit = np.zeros((to - at, len(self.start)))
+            begins = (ends - lengths)[at:to]
+            for a in range(first, ends[to - 1], TOKENS_AT_ONCE):
+                b = min(ends[to - 1], a + TOKENS_AT_ONCE)
+                own = np.searchsorted(begins, np.arange(a, b), "right") - 1
+                starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                fit[own[starts]] += np.add.reduceat(logs[sequence[a:b]], starts, axis=0)
+            share = np.exp(fit - fit.max(1, keepdims=True))
+            share /= share.sum(1, keepdims=True)
+            for a in range(first, ends[to - 1], TOKENS_AT_ONCE):
+                b = min(ends[to - 1], a + TOKENS_AT_ONCE)
+                own = np.searchsorted(begins, np.arange(a, b), "right") - 1
+                for k in range(len(self.start)):
+                    into[k] += np.bincount(sequence[a:b], share[own, k], into.shape[1])
+            at = to
+
     @staticmethod
     def zeros(states: int, classes: int) -> list[np.ndarray]:
         return [np.zeros(states), np.zeros((states, states)), np.zeros((states, classes))]
@@ -268,7 +294,7 @@ class Model:
 
 
 def first_model(pairs: list[tuple[np.ndarray, np.ndarray]], background: np.ndarray, states: int) -> Model:
-    """A mixture of class distributions over sampled texts (classes, times), by EM from texts far apart; each becomes a state."""
+    """A mixture of class distributions over groups of texts (classes, times), by EM from groups far apart; each becomes a state."""
     classes = len(background)
     rng = np.random.default_rng(2)
     emit = np.tile(background, (states, 1))
@@ -276,7 +302,7 @@ def first_model(pairs: list[tuple[np.ndarray, np.ndarray]], background: np.ndarr
         sizes = np.array([n.sum() for _, n in pairs])
         chosen = [int(np.argmax(sizes))]
         far = np.full(len(pairs), np.inf)
-        for _ in range(min(states, len(pairs)) - 1):  # next: the text that the chosen ones explain worst
+        for _ in range(min(states, len(pairs)) - 1):  # next: the group that the chosen ones explain worst
             own = background.copy() * 50
             own[pairs[chosen[-1]][0]] += pairs[chosen[-1]][1]
             own /= own.sum()
@@ -305,7 +331,7 @@ def first_model(pairs: list[tuple[np.ndarray, np.ndarray]], background: np.ndarr
 _REQUEST = pa.schema([("bucket", pa.int32()), ("chunk", pa.string()), ("n_docs", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())])
 
 
-def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, sample: int = SAMPLE) -> DataFrame:
+def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, fits: int = FITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     spark = docs.sparkSession
     context = spark.sparkContext
@@ -348,10 +374,11 @@ def score(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, sample: i
 
     background = np.r_[vocabulary.end_count, vocabulary.shape_n, vocabulary.counts].astype(float) + 0.5
     background /= background.sum()
-    share = min(1.0, sample / max(1, n_docs))
-    model = first_model(_sampled(chunks, share, sample), background, states)
+    model = first_model(_grouped(chunks, context.broadcast(background), vocabulary.classes), background, states)
+    for _ in range(fits):
+        model = refitted(model, _shared_out(chunks, context.broadcast(model), states, vocabulary.classes), background)
     for _ in range(rounds):
-        model = model.updated(_expected(chunks, context.broadcast(model), states, vocabulary.classes, buckets), background)
+        model = model.updated(_expected(chunks, context.broadcast(model), states, vocabulary.classes), background)
     final = context.broadcast(model)
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,42 +455,73 @@ def _training(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.frombuffer(row["sequence"], np.uint16)[np.repeat(~held, lengths)], lengths[~held]
 
 
-def _sampled(chunks: DataFrame, share: float, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Classes and their times of at most `most` whole training texts, chosen by a hash of the text."""
-    schema = pa.schema([("place", pa.int64()), ("classes", pa.binary()), ("times", pa.binary())])
+def _outstanding(sequence: np.ndarray, lengths: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """For each text the class with the largest times * log(times / expected times); ties to the smaller class."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    pairs, times = np.unique(owner * len(background) + sequence, return_counts=True)
+    text, own = pairs // len(background), pairs % len(background)
+    weight = times * np.log(times / (lengths[text] * background[own]))
+    best = np.lexsort((own, -weight, text))
+    return own[best[np.searchsorted(text, np.arange(len(lengths)))]]  # text is sorted, and so is text[best]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                for sequence, lengths in _training(row):
-                    found, ends = [], np.cumsum(lengths).tolist()
-                    for end, n in zip(ends, lengths.tolist(), strict=True):
-                        own = sequence[end - n : end]
-                        place = xxhash.xxh64_intdigest(own.tobytes()) >> 1
-                        if place < share * 2.0**63:
-                            classes, times = np.unique(own, return_counts=True)
-                            found.append({"place": place, "classes": classes.tobytes(), "times": times.astype(np.int64).tobytes()})
-                    yield _packed(found, schema)
-
-    rows = chunks.select("lengths", "held_out", "sequence").mapInArrow(common.lean(run), "place long, classes binary, times binary").orderBy("place", "classes", "times").limit(most).collect()  # `most` rows of at most all classes
-    return [(np.frombuffer(r.classes, np.uint16), np.frombuffer(r.times, np.int64)) for r in rows]
-
-
-def _expected(chunks: DataFrame, model, states: int, classes: int, fan: int) -> list[np.ndarray]:
-    """Expected counts over all training texts: summed in each task, then in a tree of vectors."""
+
+def _grouped(chunks: DataFrame, background, classes: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Classes and their times in all training texts, by group; a text's group is its outstanding class modulo GROUPS."""
+
+    def count(row: dict, into: np.ndarray) -> None:
+        for sequence, lengths in _training(row):
+            group = np.repeat(_outstanding(sequence, lengths, background.value) % GROUPS, lengths)
+            found, times = np.unique(group * classes + sequence, return_counts=True)
+            into[found // classes, found % classes] += times
+
+    table = _summed(chunks, count, GROUPS, classes)
+    return [(own, row[own]) for row in table if len(own := np.flatnonzero(row))]
+
+
+def _shared_out(chunks: DataFrame, model, states: int, classes: int) -> np.ndarray:
+    """Model.shared_out of all training texts."""
+
+    def count(row: dict, into: np.ndarray) -> None:
+        for sequence, lengths in _training(row):
+            model.value.shared_out(sequence, lengths, into)
+
+    return _summed(chunks, count, states, classes)
+
+
+def refitted(model: Model, counts: np.ndarray, background: np.ndarray) -> Model:
+    """The model with emissions from the counts of a mixture; background as in updated."""
+    emit = counts + 5.0 * background + 1e-9
+    return Model(model.start, model.move, emit / emit.sum(1, keepdims=True))
+
+
+def _expected(chunks: DataFrame, model, states: int, classes: int) -> list[np.ndarray]:
+    """Expected counts over all training texts."""
+
+    def count(row: dict, into: np.ndarray) -> None:
+        flat = into[0]
+        parts = [flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 :].reshape(states, classes)]
+        for sequence, lengths in _training(row):
+            model.value.expected(sequence, lengths, parts)
+
+    flat = _summed(chunks, count, 1, states + states**2 + states * classes)[0]
+    return [flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 :].reshape(states, classes)]
+
+
+def _summed(chunks: DataFrame, count, height: int, breadth: int) -> np.ndarray:
+    """A table (height, breadth) to which count adds each chunk: summed in each task, then in a tree of its blocks."""
     width = 4096
     schema = pa.schema([("salt", pa.int32()), ("block", pa.int32()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        into = Model.zeros(states, classes)
+        into = np.zeros((height, breadth))
         for batch in batches:
             for row in batch.to_pylist():
-                for sequence, lengths in _training(row):
-                    model.value.expected(sequence, lengths, into)
-        flat = np.concatenate([x.ravel() for x in into])
-        yield _packed([{"salt": TaskContext.get().partitionId() // 16, "block": b, "values": flat[b * width : (b + 1) * width].tobytes()} for b in range(-(-len(flat) // width))], schema)
+                count(row, into)
+        flat = into.ravel()
+        blocks = [(b, flat[b * width : (b + 1) * width]) for b in range(-(-len(flat) // width))]
+        yield _packed([{"salt": TaskContext.get().partitionId() // 16, "block": b, "values": x.tobytes()} for b, x in blocks if x.any()], schema)
 
     def add(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["values"])  # one order, so reruns agree
@@ -478,9 +536,10 @@ def _expected(chunks: DataFrame, model, states: int, classes: int, fan: int) ->
         parts = -(-parts // 16)
         if parts <= 1:
             break
-    rows = sorted(summed.collect(), key=lambda r: r.block)  # one vector of the model's size
-    flat = np.concatenate([np.frombuffer(r.values) for r in rows]) if rows else np.zeros(states + states * states + states * classes)
-    return [flat[:states], flat[states : states + states**2].reshape(states, states), flat[states + states**2 :].reshape(states, classes)]
+    flat = np.zeros(height * breadth)
+    for r in summed.collect():  # one table of bounded size
+        flat[r.block * width : (r.block + 1) * width] = np.frombuffer(r["values"])
+    return flat.reshape(height, breadth)
 
 
 def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,6 +218,34 @@ def test_expected_counts_are_those_of_whole_texts():
     assert np.allclose(into[0], starts) and np.allclose(into[1] * model.move, moves) and np.allclose(into[2], emits)
 
 
+def test_markov_start_counts_all_training_texts(spark, monkeypatch):
+    given, first = [], markov.first_model
+    monkeypatch.setattr(markov, "first_model", lambda pairs, *rest: given.extend(pairs) or first(pairs, *rest))
+    rows = markov.score(documents(spark, [(i, f"a{i % 7} b{i % 11} c") for i in range(4_500)])).collect()
+    assert sum(int(times.sum()) for _, times in given) == rows[0].train_tokens
+
+
+def test_markov_shares_texts_out_whole(monkeypatch):
+    rng = np.random.default_rng(5)
+    lengths = np.array([3, 50, 1, 20])
+    sequence = rng.integers(0, 6, lengths.sum()).astype(np.uint16)
+    norm = lambda x: x / x.sum(-1, keepdims=True)
+    model, wanted, at = markov.Model(norm(rng.random(3)), norm(rng.random((3, 3))), norm(rng.random((3, 6)))), np.zeros((3, 6)), 0
+    for n in lengths:
+        own, at = sequence[at : at + n], at + n
+        wanted += np.outer(norm(np.prod(model.emit[:, own], axis=1)), np.bincount(own, minlength=6))
+    for tokens in (1 << 18, 8):
+        monkeypatch.setattr(markov, "TOKENS_AT_ONCE", tokens)
+        into = np.zeros((3, 6))
+        model.shared_out(sequence, lengths, into)
+        assert np.allclose(into, wanted)
+    background = norm(rng.random(6))
+    texts, at = markov._outstanding(sequence, lengths, background), 0
+    for n, got in zip(lengths, texts, strict=True):
+        c, at = np.bincount(sequence[at : at + n], minlength=6), at + n
+        assert got == np.argmax(np.where(c > 0, c * np.log(np.maximum(c, 1) / (n * background)), -np.inf))
+
+
 def test_markov_on_odd_rows(spark, odd, empty):
     rows = markov.score(odd).collect()
     assert len(rows) == 12 and sorted(r.n_tokens for r in rows)[:3] == [1, 1, 1]
