@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates, scalar
+from .grouping import codes_of, map_groups
+
+TILE = 64  # columns along a side of a tile
+CANDIDATES = 1_000_000  # columns under triangles that are tested at once
 
 
 def from_points(points: DataFrame, pitch: float, key: str = "mesh") -> DataFrame:
@@ -102,10 +106,63 @@ def upward_hits(columns_: DataFrame, triangles: DataFrame, pitch: float, base: f
     return first.select(key, "ix", "iz", F.col("h.y").alias("hit"), F.col("h.forward").alias("forward"))
 
 
+def upward_hits_each(triangles: DataFrame, pitch: float, base: float, key: str = "mesh") -> DataFrame:
+    """upward_hits of every column that a triangle of the mesh meets.
+
+    A ray only hits where its column's centre is under a triangle, so no columns are made before:
+    triangles are dealt to the tiles of TILE x TILE columns under their box, and each tile finds its hits.
+    """
+    names = [f"{p}{a}" for p in "abc" for a in "xyz"]
+    number = lambda f, a: F.floor(f(*[F.col(f"{p}{a}") for p in "abc"]) / F.lit(pitch))
+    tile = lambda f, a: F.floor(number(f, a) / TILE).cast("int")
+    dealt = triangles.select(key, *names)
+    for a in "xz":
+        dealt = dealt.withColumn(f"t{a}", F.explode(F.sequence(tile(F.least, a), tile(F.greatest, a))))
+    kind = triangles.schema[key].dataType.simpleString()
+
+    def hits(table: pa.Table) -> pa.Table:
+        of = table.column("tile").combine_chunks()
+        (ax, ay, az), (bx, by, bz), (cx, cy, cz) = ([table.column(f"{p}{a}").to_numpy() for a in "xyz"] for p in "abc")
+        own, low, high = codes_of(table.column("tile")).astype(np.int64), [], []
+        for t, *v in (("tx", ax, bx, cx), ("tz", az, bz, cz)):
+            first = of.field(t).to_numpy().astype(np.int64) * TILE
+            low.append(np.maximum(first, np.floor(np.minimum.reduce(v) / pitch).astype(np.int64)))
+            high.append(np.minimum(first + TILE - 1, np.floor(np.maximum.reduce(v) / pitch).astype(np.int64)))
+        cross = lambda ox, oy, px, py, qx, qy: (px - ox) * (qy - oy) - (py - oy) * (qx - ox)
+        whole = cross(ax, az, bx, bz, cx, cz)
+        steep = np.flatnonzero(~(np.abs(whole) > 1e-12))
+        size, depth = (high[0] - low[0] + 1) * (high[1] - low[1] + 1), high[1] - low[1] + 1
+        size[steep] = 0
+        ends, found, at = np.cumsum(size), [], 0
+        while at < len(size):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CANDIDATES, "right")))
+            t = np.repeat(np.arange(at, to), size[at:to])
+            place = np.arange(len(t)) - np.repeat(ends[at:to] - size[at:to] - (ends[at - 1] if at else 0), size[at:to])
+            at = to
+            ix, iz = low[0][t] + place // depth[t], low[1][t] + place % depth[t]
+            px, pz = (ix + 0.5) * pitch, (iz + 0.5) * pitch
+            one, two, three = cross(px, pz, bx[t], bz[t], cx[t], cz[t]), cross(px, pz, cx[t], cz[t], ax[t], az[t]), cross(px, pz, ax[t], az[t], bx[t], bz[t])
+            y = one / whole[t] * ay[t] + two / whole[t] * by[t] + three / whole[t] * cy[t]
+            sides = np.stack([one, two, three])
+            keep = np.flatnonzero(~((sides < -1e-12).any(0) & (sides > 1e-12).any(0)) & (y >= base))  # as scalar.in_triangle
+            t, ix, iz, y = t[keep], ix[keep], iz[keep], y[keep]
+            found.append((t, ix, iz, y))
+        t, ix, iz, y = (np.concatenate(x) for x in zip(*found, strict=True))
+        forward = -whole[t] > 0
+        column = (own[t] * TILE + ix % TILE) * TILE + iz % TILE
+        order = np.lexsort((forward, y, column))
+        first = order[np.r_[True, column[order][1:] != column[order][:-1]]] if len(order) else order
+        t, ix, iz, y, forward = t[first], ix[first], iz[first], y[first], forward[first]
+        return pa.table([of.field(key).take(pa.array(t)), pa.array(ix, pa.int32()), pa.array(iz, pa.int32()), pa.array(y), pa.array(forward)], names=[key, "ix", "iz", "hit", "forward"])
+
+    rows = dealt.select(F.struct(key, "tx", "tz").alias("tile"), *names)
+    return map_groups(rows, "tile", hits, f"`{key}` {kind}, ix int, iz int, hit double, forward boolean", rows_at_once=20_000)
+
+
 def filled_columns(hits: DataFrame, pitch: float, base_layer: int, key: str = "mesh") -> DataFrame:
-    """Cells from the base layer up to each forward hit."""
-    up = hits.where("forward").select(key, F.col("ix").alias("x1"), F.lit(base_layer).alias("y1"), F.col("iz").alias("z1"), F.floor(F.col("hit") / F.lit(pitch)).cast("int").alias("y2"))
-    return lines(up.where(F.col("y2") >= F.col("y1")).withColumns({"x2": F.col("x1"), "z2": F.col("z1")}), key)
+    """Cells from the base layer up to each forward hit; hits name a column once, so no cell comes twice."""
+    up = hits.where("forward").select(key, "ix", "iz", F.floor(F.col("hit") / F.lit(pitch)).cast("int").alias("top")).where(F.col("top") >= base_layer)
+    return up.select(key, "ix", F.explode(F.sequence(F.lit(base_layer), F.col("top"))).alias("iy"), "iz")
 
 
 def surface(voxels: DataFrame, pitch: float = 1.0, origin: tuple[float, float, float] = (0.0, 0.0, 0.0), key: str = "mesh") -> DataFrame:

@@ -388,3 +388,16 @@ def test_distances_to_each_mesh_equal_those_to_it_alone(spark):
             assert each[m, r.pid] == pytest.approx(r.sdf)
     with pytest.raises(ValueError):
         clouds.signed_distance_each(points, triangles, most_points=2)
+
+
+def test_upward_hits_of_tiles_equal_those_of_columns(spark):
+    """Columns over several tiles, negative ones, steep and overlapping triangles, two meshes; nothing is made distinct."""
+    rng = random.Random(3)
+    rows = [(m, *[rng.uniform(-90, 90) for _ in range(9)]) for m in (1, 2) for _ in range(6)] + [(1, 0.0, 1.0, 0.0, 0.0, 9.0, 0.0, 5.0, 1.0, 5.0)]
+    t = spark.createDataFrame(rows, "mesh int, " + ", ".join(f"{p}{a} double" for p in "abc" for a in "xyz"))
+    old = voxels.upward_hits(voxels.columns(voxels.from_triangles(t, 1.5)), t, 1.5, 0.5)
+    new = voxels.upward_hits_each(t, 1.5, 0.5)
+    key = lambda df: sorted((r.mesh, r.ix, r.iz, round(r.hit, 6), r.forward) for r in df.collect())
+    assert key(new) == key(old) and new.count() > 64 * 64
+    plan = voxels.filled_columns(new, 1.5, 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "HashAggregate" not in plan
