@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import predicates, scalar
-from .grouping import codes_of, map_groups
+from .grouping import codes_of, join_made, map_groups
 
 TILE = 64  # columns along a side of a tile
 CANDIDATES = 1_000_000  # columns under triangles that are tested at once
@@ -173,7 +173,7 @@ def surface(voxels: DataFrame, pitch: float = 1.0, origin: tuple[float, float, f
     sides = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(s).alias("step")) for a in range(3) for s in (-1, 1)]))
     around = voxels.withColumn("s", sides).select(key, "ix", "iy", "iz", "s.axis", "s.step", *[(F.col(f"i{a}") + F.when(F.col("s.axis") == k, F.col("s.step")).otherwise(0)).alias(f"n{a}") for k, a in enumerate("xyz")])
     other = voxels.select(key, *[F.col(f"i{a}").alias(f"n{a}") for a in "xyz"])
-    outer = around.join(other, [key, "nx", "ny", "nz"], "left_anti")
+    outer = join_made(around, other, [key, "nx", "ny", "nz"], "left_anti")
     ring = ((0, 0), (1, 0), (1, 1), (0, 1))
     corner = lambda u, v: F.struct(*[((F.col(f"i{a}") + F.when(F.col("axis") == k, F.when(F.col("step") > 0, 1).otherwise(0)).when(F.col("axis") == (k + 2) % 3, u).otherwise(v)) * F.lit(pitch) + F.lit(origin[k])).alias(a) for k, a in enumerate("xyz")])
     return outer.select(key, "axis", "step", F.array(*[corner(u, v) for u, v in ring]).alias("corners"))

@@ -51,7 +51,7 @@ def test_entry_works_without_the_removable_part(tmp_path, gone):
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": str(copy)})
 
 
-@pytest.mark.parametrize("name", ["bottom_contour", "clipped_triangles", "faces_in_cube_any", "sharp_sample", "surface_sample", "faces_in_cube_all", "jittered_sample", "loose_geometry", "sdf_probe", "sharp_edge_counts"])
+@pytest.mark.parametrize("name", ["bottom_contour", "clipped_triangles", "faces_in_cube_any", "sharp_sample", "surface_sample", "faces_in_cube_all", "jittered_sample", "loose_geometry", "sdf_probe", "sharp_edge_counts", "voxel_surface"])
 def test_made_rows_are_not_broadcast(spark, sf_dir, name):
     """The estimated size of exploded rows says nothing about their real size."""
     plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
