@@ -68,7 +68,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _release() -> None:
+def release() -> None:
     """Gives freed memory back to the system: Python workers stay for later stages, their heaps should not."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -83,7 +83,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            _release()
+            release()
 
     return own
 

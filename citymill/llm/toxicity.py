@@ -21,15 +21,17 @@ of label 1 among examples without a word that leans to toxic by `LIFT` and `GAIN
 labelled row the share is 0. Very long texts are read whole. Repeated rows score alike; ties in
 similarity go to the smaller doc_id; a doc_id that has several labels counts as toxic if
 any is; null labels and null ids take no part in training. Extra columns are ignored, or kept by
-`judge`. Memory grows with the words of the sample (12 bytes a word and example, twice).
+`judge`. Memory grows with the words of the sample (12 bytes a word and example, twice). The index is
+made by a task and goes through the driver as bytes, once.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,8 @@ ROWS = 512  # texts compared at once
 MARGIN = 1e-4  # more than single precision loses in a product of unit vectors
 NEIGHBOURS = 15
 LETTERS = re.compile(r"[^\W\d_]+")
+PIECE = 4_000_000  # bytes of a row of the packed index
+EXAMPLES = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("copy", pa.int64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))])
 
 
 class Index:
@@ -220,7 +224,7 @@ def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
             found = LETTERS.findall(text.lower())
             counts = Counter(found)
             out.append({"doc_id": doc_id, "toxic": int(label), "copy": xxhash.xxh64_intdigest(text) - (1 << 63), "words": list(counts), "times": list(counts.values())})
-        return pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("copy", pa.int64()), ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))]))
+        return pa.RecordBatch.from_pylist(out, EXAMPLES)
 
     return common.map_batches(rows, work, "doc_id long, toxic int, copy long, words array<string>, times array<int>").checkpoint()
 
@@ -235,9 +239,34 @@ def _gains(n1: np.ndarray, n0: np.ndarray, all1: int, all0: int) -> np.ndarray:
     return np.where(n1 * all0 > n0 * all1, 2 * np.maximum(total, 0.0), 0.0)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
-    """The index over the training examples of docs and labels."""
-    rows = _examples(docs, labels, sample).dropDuplicates(["doc_id", "copy"]).toArrow()  # bounded by the sample
+class Packed:
+    """An index as bytes; what a worker reads from its broadcast is the index."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self) -> tuple:
+        return pickle.loads, (self.data,)
+
+
+def _in_one_task(rows: DataFrame, work: Callable[[pa.Table], bytes]) -> bytes:
+    """What work makes of all examples, of which there are at most the sample; the driver only holds the bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = work(pa.Table.from_batches(list(batches), EXAMPLES))
+        for at in range(0, len(data), PIECE):
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([data[at : at + PIECE]], pa.binary())], ["at", "data"])
+
+    found = rows.repartition(1).mapInArrow(common.lean(run), "at long, data binary").toArrow()
+    pieces = [found["data"][k].as_buffer() for k in np.argsort(found["at"].to_numpy()).tolist()]
+    data = b"".join(pieces) if pieces else work(EXAMPLES.empty_table())  # no rows, no task
+    del found, pieces
+    common.release()
+    return data
+
+
+def _distinct(rows: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """ids, labels, and the vectors (starts, terms, counts) and words of the examples that count."""
     seen: set[int] = set()
     kept: dict[int, tuple[int, int]] = {}  # label and place
     for doc_id, copy, label, place in sorted(zip(rows["doc_id"].to_pylist(), rows["copy"].to_pylist(), rows["toxic"].to_pylist(), range(len(rows)), strict=True)):
@@ -245,7 +274,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
             kept[doc_id] = (label, place)
         seen.add(copy)
     ids, label = sorted(kept), np.array([kept[i][0] for i in sorted(kept)], np.int64)
-    all1, all0 = int(label.sum()), int(len(label) - label.sum())
     taken = rows.select(["words", "times"]).take(pa.array([kept[i][1] for i in ids], pa.int64())).combine_chunks()
     lists = pa.concat_arrays(taken["words"].chunks) if taken["words"].num_chunks else pa.array([], pa.list_(pa.string()))
     times = pa.concat_arrays(taken["times"].chunks) if taken["times"].num_chunks else pa.array([], pa.list_(pa.int32()))
@@ -256,13 +284,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     order = np.argsort(-np.bincount(number, minlength=size), kind="stable")
     rank = np.empty(size, np.int64)
     rank[order] = np.arange(size)
-    terms = rank[number].astype(np.int32)
-    words = coded.dictionary.take(pa.array(order)).to_pylist()
+    return ids, label, starts, rank[number].astype(np.int32), counts, coded.dictionary.take(pa.array(order)).to_pylist()
+
+
+def _index(rows: pa.Table, frequency: np.ndarray, n_docs: int) -> Index:
+    ids, label, starts, terms, counts, words = _distinct(rows)
+    all1, all0, size = int(label.sum()), int(len(label) - label.sum()), len(words)
     row = np.repeat(np.arange(len(ids)), np.diff(starts))
     n1 = np.bincount(terms, label[row], size)
     n0 = np.bincount(terms, 1 - label[row], size)
     gains = _gains(n1, n0, all1, all0)
-    frequency, n_docs = document_frequency(docs, words)
     idf = (np.log((1 + n_docs) / (1 + frequency)) + 1) * (1 + gains)
     leans = (gains >= GAIN) & (n1 * max(all0, 1) >= LIFT * n0 * max(all1, 1))
     overall = all1 / len(ids) if ids else 0.0
@@ -270,12 +301,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
     return Index(words, idf, ids, label.tolist(), starts, terms, counts, float(without.sum() + overall) / (len(without) + 1), overall)
 
 
-def document_frequency(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each word occurs, and the number of documents."""
+def pack(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Packed:
+    """The index over the training examples of docs and labels, made by tasks; the driver never holds it but as bytes."""
+    rows = _examples(docs, labels, sample).dropDuplicates(["doc_id", "copy"])
+    words = _in_one_task(rows, lambda table: "\n".join(_distinct(table)[-1]).encode())  # a word has letters only
+    frequency, n_docs = document_frequency(docs, words)
+    return Packed(_in_one_task(rows, lambda table: pickle.dumps(_index(table, frequency, n_docs), pickle.HIGHEST_PROTOCOL)))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Index:
+    """The index of `pack`, to look into here."""
+    return pickle.loads(pack(docs, labels, sample).data)
+
+
+def document_frequency(docs: DataFrame, words: bytes) -> tuple[np.ndarray, int]:
+    """In how many of all documents each word (in UTF-8, one a line) occurs, and the number of documents."""
     shared = docs.sparkSession.sparkContext.broadcast(words)  # bounded by the sample's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: k for k, w in enumerate(shared.value)}
+        known = {w: k for k, w in enumerate(shared.value.decode().split("\n"))} if shared.value else {}
         total, n = np.zeros(len(known) + 1, np.int64), 0
         for batch in batches:
             for text in common.texts_of(batch, "text"):
@@ -285,13 +329,13 @@ def document_frequency(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, i
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["term", "n"])
 
-    frequency = np.zeros(len(words) + 1, np.int64)
+    frequency = np.zeros((words.count(b"\n") + 1 if words else 0) + 1, np.int64)
     found = docs.select("text").mapInArrow(common.lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row for each word
     frequency[found["term"].to_numpy()] = found["n"].to_numpy()
     return frequency[:-1], int(frequency[-1])
 
 
-def judge(docs: DataFrame, index: Index, evidence: bool = True) -> DataFrame:
+def judge(docs: DataFrame, index: Index | Packed, evidence: bool = True) -> DataFrame:
     """docs with score, predicted and, if asked for, neighbours (doc_id, similarity, label)."""
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
     clash = {"score", "predicted", "neighbours"}
@@ -312,5 +356,5 @@ def judge(docs: DataFrame, index: Index, evidence: bool = True) -> DataFrame:
 
 def op5_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.read(spark, sf_dir, "documents").select("doc_id", "text"), common.read(spark, sf_dir, "labels")
-    judged = judge(docs, train(docs, labels))
+    judged = judge(docs, pack(docs, labels))
     return judged.select("doc_id", (common.fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "neighbours")

@@ -24,7 +24,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the labelled neighbours score below 0.5."""
     docs = docs.select(*COLUMNS)
-    index = toxicity.train(docs, common.read(spark, sf_dir, "labels"))
+    index = toxicity.pack(docs, common.read(spark, sf_dir, "labels"))
     return toxicity.judge(docs, index, evidence=False).where("predicted = 0").select(*COLUMNS)
 
 

@@ -5,7 +5,7 @@ import collections
 import pytest
 
 import corpus_pipeline as pipeline
-from citymill.llm import bpe, mixing
+from citymill.llm import bpe, common, mixing, toxicity
 
 BIG = "/root/testdata/sf0.01"  # enough labels to learn from
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -68,3 +68,17 @@ def test_stages_on_odd_rows(spark, sf_dir):
                 taken = collections.Counter((r.doc_id, r.text) for r in out.collect())
                 assert all(t <= 2 * rows.count(next(x for x in rows if x[:2] == key)) for key, t in taken.items())
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_toxicity_index_is_made_by_tasks(spark, sf_dir, monkeypatch):
+    """The driver has no room for the examples' words or the index: it passes bytes on."""
+
+    def refuse(*_):
+        raise AssertionError("the driver builds the index")
+
+    docs, labels = common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "labels")
+    want = {r.doc_id: r.score for r in toxicity.judge(docs, toxicity.train(docs, labels)).collect()}
+    for name in ("__init__", "_build", "__setstate__"):
+        monkeypatch.setattr(toxicity.Index, name, refuse)
+    assert {r.doc_id: r.score for r in toxicity.op5_toxic_neighbours(spark, sf_dir).collect()} == want
+    assert pipeline.reject_toxic(spark, docs, sf_dir).count() == sum(s < 0.5 for s in want.values())
