@@ -16,6 +16,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,16 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return own
 
 
+def forget(shared: Broadcast) -> None:
+    """Drops what a worker made of a broadcast; a later task reads it again.
+
+    Workers are taken in turn and there are more of them than cores, so those that wait would
+    hold a large value each.
+    """
+    if getattr(shared, "_path", None):  # a file to read again
+        shared.__dict__.pop("_value", None)
+
+
 def slices(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their text or html has about so many bytes; a longer text is a batch of its own."""
     for batch in batches:
@@ -103,13 +114,20 @@ def slices(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterato
             at = to
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Applies work to each Arrow batch, cut by the length of its texts; one is held at a time."""
+def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, large: Broadcast | None = None) -> DataFrame:
+    """Applies work to each Arrow batch, cut by the length of its texts; one is held at a time.
+
+    large: a broadcast that work reads and that is too large to stay in the worker after the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            if batch.num_rows and (out := work(batch)) is not None:
-                yield out
+        try:
+            for batch in slices(batches):
+                if batch.num_rows and (out := work(batch)) is not None:
+                    yield out
+        finally:
+            if large is not None:
+                forget(large)
 
     return df.mapInArrow(lean(run), schema)
 

@@ -21,8 +21,9 @@ of label 1 among examples without a word that leans to toxic by `LIFT` and `GAIN
 labelled row the share is 0. Very long texts are read whole. Repeated rows score alike; ties in
 similarity go to the smaller doc_id; a doc_id that has several labels counts as toxic if
 any is; null labels and null ids take no part in training. Extra columns are ignored, or kept by
-`judge`. Memory grows with the words of the sample (12 bytes a word and example, twice). The index is
-made by a task and goes through the driver as bytes, once.
+`judge`. Memory grows with the words of the sample (12 bytes a word and example, and 8 more for rare
+words). The index is made by a task and goes through the driver as bytes, once; a worker holds it no
+longer than a task lasts.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ LIFT = 5.0  # times as common among toxic examples as among others, at least
 BLOCK = 64  # examples
 FIRST = 3  # blocks that give the first neighbours
 DENSE = 1_024  # terms kept as a matrix
-ROWS = 512  # texts compared at once
+ROWS = 256  # texts compared at once
 MARGIN = 1e-4  # more than single precision loses in a product of unit vectors
 NEIGHBOURS = 15
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -93,15 +94,17 @@ class Index:
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._build()
+        common.release()
 
     def _build(self) -> None:
-        """What follows from the vectors: terms' numbers, the matrix, and postings (at, rows, values) by term."""
+        """What follows from the vectors: terms' numbers, the matrix of common terms, and postings (at, rows, values) of rare ones."""
         self.terms = {w: k for k, w in enumerate(self.words)}
-        row = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.starts))
-        order = np.argsort(self.of, kind="stable")
-        self.rows, self.values = row[order], self.weights[order]
-        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.of, minlength=len(self.words)))]).astype(np.int64)
         self.dense = self._matrix()
+        row = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.starts))
+        rare = np.flatnonzero(self.of >= len(self.dense))
+        order = rare[np.argsort(self.of[rare], kind="stable")]
+        self.rows, self.values = row[order], self.weights[order].astype(np.float32)
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.of[rare], minlength=len(self.words)))]).astype(np.int64)
         self.begins = np.arange(0, len(self.ids), BLOCK)
         self.most = np.maximum.reduceat(self.dense, self.begins, axis=1) if len(self.ids) else self.dense
 
@@ -109,8 +112,10 @@ class Index:
     def postings(self) -> dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]:
         """Rows and weights by term and block of `BLOCK` examples; to look into the index, not to search."""
         out: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        for t in range(len(self.words)):
-            rows, values = self.rows[self.at[t] : self.at[t + 1]], self.values[self.at[t] : self.at[t + 1]]
+        row, order = np.repeat(np.arange(len(self.ids)), np.diff(self.starts)), np.argsort(self.of, kind="stable")
+        ends = np.cumsum(np.bincount(self.of, minlength=len(self.words)))
+        for t, own in enumerate(np.split(order, ends[:-1]) if len(ends) else []):
+            rows, values = row[own], self.weights[own]
             out[t] = {int(b): (rows[rows // BLOCK == b] % BLOCK, values[rows // BLOCK == b]) for b in np.unique(rows // BLOCK)}
         return out
 
@@ -134,10 +139,9 @@ class Index:
 
     def _nearest_of(self, texts: list[str]) -> list[list[tuple[float, int]]]:
         n, m = len(self.ids), len(self.dense)
-        vectors = [self.unit(self.counts(t)) for t in texts]
         if not n:
-            return [[] for _ in vectors]
-        own = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors]
+            return [[] for _ in texts]
+        own = [(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), float, len(v))) for v in (self.unit(self.counts(t)) for t in texts)]
         matrix = np.zeros((len(texts), m), np.float32)
         for k, (terms, weights) in enumerate(own):
             few = int(np.searchsorted(terms, m))
@@ -351,7 +355,7 @@ def judge(docs: DataFrame, index: Index | Packed, evidence: bool = True) -> Data
         return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, kind) for v, (_, kind) in zip(values, extra, strict=True))], [*columns, *(n for n, _ in extra)])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return common.map_batches(docs, work, f"{schema}, score double, predicted int" + (", neighbours array<struct<doc_id:bigint,similarity:double,label:int>>" if evidence else ""))
+    return common.map_batches(docs, work, f"{schema}, score double, predicted int" + (", neighbours array<struct<doc_id:bigint,similarity:double,label:int>>" if evidence else ""), large=shared)
 
 
 def op5_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """The corpus pipeline stage by stage and as a whole."""
 
 import collections
+import os
+import uuid
 
 import pytest
+from pyspark import cloudpickle
 
 import corpus_pipeline as pipeline
 from citymill.llm import bpe, common, mixing, toxicity
@@ -82,3 +85,45 @@ def test_toxicity_index_is_made_by_tasks(spark, sf_dir, monkeypatch):
         monkeypatch.setattr(toxicity.Index, name, refuse)
     assert {r.doc_id: r.score for r in toxicity.op5_toxic_neighbours(spark, sf_dir).collect()} == want
     assert pipeline.reject_toxic(spark, docs, sf_dir).count() == sum(s < 0.5 for s in want.values())
+
+
+def test_workers_drop_the_index_with_each_task(spark, sf_dir, tmp_path):
+    """Workers are taken in turn, so one that waits would hold an index for nothing."""
+    folder = str(tmp_path)
+
+    class Marked:
+        ids, labels, live = (), (), False
+
+        def mark(self, what):
+            open(f"{folder}/{what}-{uuid.uuid4()}", "w").close()
+
+        def __getstate__(self):
+            return {"live": True}
+
+        def __setstate__(self, state):
+            self.__dict__.update(state)
+            self.mark("read")
+
+        def __del__(self):
+            if self.live:
+                self.mark("dropped")
+
+        def nearest_of(self, texts):
+            return [[] for _ in texts]
+
+        def score(self, found):
+            return 0.5
+
+    docs = common.read(spark, sf_dir, "documents").repartition(6)
+    judged = toxicity.judge(docs, toxicity.Packed(cloudpickle.dumps(Marked())), evidence=False)
+    assert {r.predicted for r in judged.select("predicted").collect()} == {1}
+    marks = collections.Counter(name.split("-")[0] for name in os.listdir(folder))
+    assert marks["read"] == marks["dropped"] > 0
+
+
+def test_toxicity_postings_hold_rare_terms_once(spark):
+    """Common terms are in the matrix; their postings beside it would be held twice."""
+    docs, labels = common.read(spark, BIG, "documents"), common.read(spark, BIG, "labels")
+    index = toxicity.train(docs, labels)
+    assert 0 < len(index.rows) == len(index.values) == int((index.of >= len(index.dense)).sum()) < len(index.of)
+    assert sum(len(rows) for blocks in index.postings.values() for rows, _ in blocks.values()) == len(index.of)
