@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from .grouping import starts_of, whole_groups
 
 ANGLES = (0.0, 90.0, 180.0, 270.0)
 LEAST_POINTS = 10
@@ -130,71 +131,164 @@ def signed_distance(points: DataFrame, triangles: DataFrame, most_triangles: int
     One mesh is broadcast, after a check that it has at most most_triangles triangles; points
     stay where they are. Larger meshes have to be cut into tiles first.
     """
-    corners = [f"{p}{a}" for p in "abc" for a in "xyz"]
-    rows = triangles.select(*corners).limit(most_triangles + 1).toArrow()
+    rows = triangles.select(*_CORNERS).limit(most_triangles + 1).toArrow()
     if rows.num_rows > most_triangles:
         raise ValueError(f"a mesh of more than {most_triangles} triangles is too large to broadcast")
-    mesh = points.sparkSession.sparkContext.broadcast(np.column_stack([rows.column(c).to_numpy() for c in corners]).reshape(-1, 3, 3))
+    mesh = points.sparkSession.sparkContext.broadcast(_corners_of(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meshes = Meshes(mesh.value, np.array([0, len(mesh.value)]))
         for batch in batches:
-            xyz = np.column_stack([batch.column(a).to_numpy() for a in "xyz"]).astype(float)
-            parts = [signed_distances(xyz[at : at + 1024], mesh.value) for at in range(0, len(xyz), 1024)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else [], pa.float64())], [*batch.schema.names, "sdf"])
+            found = meshes.distances(0, _places_of(batch)) if len(mesh.value) else np.full(batch.num_rows, np.inf)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "sdf"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
     return points.mapInArrow(run, f"{fields}, sdf double")
 
 
-def signed_distance_each(points: DataFrame, triangles: DataFrame, key: str = "mesh", most_points: int = 200_000, most_triangles: int = 200_000) -> DataFrame:
+def signed_distance_each(points: DataFrame, triangles: DataFrame, key: str = "mesh", most_points: int = 200_000, most_triangles: int = 200_000, rows_at_once: int = 32_768) -> DataFrame:
     """key and points with sdf: the distance of every point to every closed mesh, negative inside.
 
-    The points are broadcast, after a check that there are at most most_points; each mesh is a
-    group, which has at most most_triangles triangles or raises an error.
+    The points are broadcast, after a check that there are at most most_points; a mesh has at most
+    most_triangles triangles or raises an error. Triangles are dealt to a given number of parts, as
+    few of them make many rows; a task reads its meshes one after the other, prepares about 20,000
+    triangles at a time and gives batches of whole meshes with about rows_at_once rows.
     """
-    corners = [f"{p}{a}" for p in "abc" for a in "xyz"]
     rows = points.limit(most_points + 1).toArrow().combine_chunks()
     if rows.num_rows > most_points:
         raise ValueError(f"more than {most_points} points are too many to broadcast")
     shared = points.sparkSession.sparkContext.broadcast(rows)
 
-    def run(mesh: pa.Table) -> pa.Table:
-        if mesh.num_rows > most_triangles:
-            raise ValueError(f"a mesh of more than {most_triangles} triangles is too large for a group")
-        own, t = shared.value, np.column_stack([mesh.column(c).to_numpy() for c in corners]).reshape(-1, 3, 3)
-        xyz = np.column_stack([own.column(a).to_numpy() for a in "xyz"]).astype(float)
-        parts = [signed_distances(xyz[at : at + 1024], t) for at in range(0, len(xyz), 1024)]
-        of = pa.array([mesh.column(key)[0].as_py()] * len(xyz), mesh.schema.field(key).type)
-        return pa.Table.from_arrays([of, *own.columns, pa.array(np.concatenate(parts) if parts else [], pa.float64())], [key, *own.column_names, "sdf"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        xyz, n = _places_of(own), own.num_rows
+        at_once = max(1, rows_at_once // n) if n else 1
+        copies = pa.concat_tables([own] * at_once).combine_chunks()
+        for table in whole_groups(batches, key, 20_000, most_triangles):
+            starts = starts_of(table.column(key))
+            if np.diff(starts).max() > most_triangles:
+                raise ValueError(f"a mesh of more than {most_triangles} triangles is too large for a group")
+            meshes, keys = Meshes(_corners_of(table), starts), table.column(key).combine_chunks().take(pa.array(starts[:-1]))
+            for at in range(0, len(keys), at_once):
+                some = range(at, min(at + at_once, len(keys)))
+                of = keys.take(pa.array(np.repeat(np.arange(some.start, some.stop), n)))
+                found = np.concatenate([meshes.distances(m, xyz) for m in some])
+                yield from pa.Table.from_arrays([of, *copies.slice(0, len(found)).columns, pa.array(found)], [key, *own.column_names, "sdf"]).to_batches()
 
     fields = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    return triangles.select(key, *corners).groupBy(key).applyInArrow(run, f"`{key}` {triangles.schema[key].dataType.simpleString()}{fields}, sdf double")
+    parts = triangles.select(key, *_CORNERS).repartition(4 * points.sparkSession.sparkContext.defaultParallelism, key)
+    return parts.sortWithinPartitions(key).mapInArrow(run, f"`{key}` {triangles.schema[key].dataType.simpleString()}{fields}, sdf double")
+
+
+_CORNERS = [f"{p}{a}" for p in "abc" for a in "xyz"]
+
+
+def _corners_of(rows: pa.Table) -> np.ndarray:
+    return np.column_stack([rows.column(c).to_numpy() for c in _CORNERS]).astype(float).reshape(-1, 3, 3)
+
+
+def _places_of(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """x, y and z as three rows."""
+    return np.vstack([rows.column(a).to_numpy(zero_copy_only=False) for a in "xyz"]).astype(float)
 
 
 def signed_distances(points: np.ndarray, triangles: np.ndarray) -> np.ndarray:
     """Distance of each point to the nearest triangle; the sign by the solid angle the mesh fills."""
-    best, winding = np.full(len(points), np.inf), np.zeros(len(points))
-    for at in range(0, len(triangles), 512):
-        a, b, c = (triangles[at : at + 512, k][None] - points[:, None] for k in range(3))
-        la, lb, lc = (np.linalg.norm(v, axis=-1) for v in (a, b, c))
-        top = np.einsum("ijk,ijk->ij", a, np.cross(b, c))
-        bottom = la * lb * lc + np.einsum("ijk,ijk->ij", a, b) * lc + np.einsum("ijk,ijk->ij", b, c) * la + np.einsum("ijk,ijk->ij", c, a) * lb
-        winding += np.arctan2(top, bottom).sum(1) / (2 * np.pi)
-        n = np.cross(b - a, c - a)
-        area = np.einsum("ijk,ijk->ij", n, n)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            height = np.einsum("ijk,ijk->ij", a, n) ** 2 / area
-            foot = n * (np.einsum("ijk,ijk->ij", a, n) / area)[..., None]
-        inside = (area > 0) & np.logical_and.reduce([np.einsum("ijk,ijk->ij", np.cross(q - p, foot - p), n) >= 0 for p, q in ((a, b), (b, c), (c, a))])
-        near = np.where(inside, height, np.inf)
-        for p, q in ((a, b), (b, c), (c, a)):
-            d = q - p
-            length = np.einsum("ijk,ijk->ij", d, d)
-            t = np.clip(np.where(length > 0, -np.einsum("ijk,ijk->ij", p, d) / np.where(length > 0, length, 1), 0), 0, 1)
-            e = p + d * t[..., None]
-            near = np.minimum(near, np.einsum("ijk,ijk->ij", e, e))
-        best = np.minimum(best, near.min(1))
-    return np.where(np.abs(winding) > 0.5, -1, 1) * np.sqrt(best)
+    return Meshes(triangles, np.array([0, len(triangles)])).distances(0, points.T) if len(triangles) else np.full(len(points), np.inf)
+
+
+class Meshes:
+    """Triangles of whole meshes, prepared for distances.
+
+    A mesh's nearest place lies on an edge or inside a face. Each edge, taken once, gives three
+    linear functions of a point, along it and across it, and each face four, its height and the
+    sides of its edges, so all of them are matrix products in coordinates about the mesh's middle.
+    Where every edge is used as often in one direction as in the other, the solid angle is exactly
+    0 outside the box of the mesh, and only points in the box are told by their sum of angles.
+    """
+
+    def __init__(self, triangles: np.ndarray, starts: np.ndarray):
+        """triangles: (n, 3 corners, 3 axes), mesh after mesh; starts: where each mesh starts, and n."""
+        count, mesh = len(starts) - 1, np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        low, high = np.minimum.reduceat(triangles.min(1), starts[:-1]), np.maximum.reduceat(triangles.max(1), starts[:-1])
+        self.starts, self.middle = starts, low + (high - low) / 2
+        self.corners = triangles - self.middle[mesh][:, None]
+        self.reach = np.maximum(high - self.middle, self.middle - low) * (1 + 1e-9)
+        # corners at the same place have one number, and an edge is a pair of them
+        flat, of = triangles.reshape(-1, 3) + 0.0, np.repeat(mesh, 3)
+        order = np.lexsort((*flat.T, of))
+        new = (flat[order][1:] != flat[order][:-1]).any(1) | (of[order][1:] != of[order][:-1])
+        number = np.empty(len(flat), np.int64)
+        number[order] = np.concatenate([[0], np.cumsum(new)])
+        begin, end = number, number.reshape(-1, 3)[:, [1, 2, 0]].ravel()
+        _, first, which = np.unique(np.minimum(begin, end) * len(flat) + np.maximum(begin, end), return_index=True, return_inverse=True)
+        one_way = np.bincount(which, np.sign(end - begin)) != 0
+        self.closed = np.bincount(of[first][one_way], minlength=count) == 0
+        self.edge_starts = np.searchsorted(of[first], np.arange(count + 1))
+        a, b = self.corners.reshape(-1, 3)[first], self.corners[:, [1, 2, 0]].reshape(-1, 3)[first]
+        self.lengths = np.linalg.norm(b - a, axis=1)
+        along = np.where(self.lengths[:, None] > 0, b - a, [1.0, 0.0, 0.0]) / np.where(self.lengths > 0, self.lengths, 1)[:, None]
+        across = np.cross(along, np.eye(3)[np.abs(along).argmin(1)])
+        across /= np.linalg.norm(across, axis=1)[:, None]
+        self.edges = _linear([along, across, np.cross(along, across)], [a, a, a])
+        a, b, c = (self.corners[:, k] for k in range(3))
+        normal = np.cross(b - a, c - a)
+        area = np.linalg.norm(normal, axis=1)
+        wide = ~(area <= 0)
+        a, b, c, normal = a[wide], b[wide], c[wide], normal[wide] / area[wide][:, None]
+        self.face_starts = np.searchsorted(mesh[wide], np.arange(count + 1))
+        self.faces = _linear([np.cross(normal, b - a), np.cross(normal, c - b), np.cross(normal, a - c), normal], [a, b, c, a])
+
+    def distances(self, m: int, xyz: np.ndarray, block: int = 1024, rows: int = 32) -> np.ndarray:
+        """The distance of each point (xyz: three rows) to mesh m, negative inside."""
+        places = np.ones((4, xyz.shape[1]))
+        np.subtract(xyz, self.middle[m][:, None], out=places[:3])
+        out = np.full(places.shape[1], np.inf)
+        held = np.empty((5, rows, min(block, len(out))))
+        for at in range(0, len(out), block):
+            place, best = places[:, at : at + block], out[at : at + block]
+            for k in range(self.edge_starts[m], self.edge_starts[m + 1], rows):
+                to = min(k + rows, self.edge_starts[m + 1])
+                d, on = held[:3, : to - k, : len(best)], held[3, : to - k, : len(best)]
+                np.matmul(self.edges[:, k:to], place, out=d)
+                np.maximum(d[0], 0, out=on)
+                np.minimum(on, self.lengths[k:to, None], out=on)
+                d[0] -= on
+                np.square(d, out=d)
+                d[0] += d[1]
+                d[0] += d[2]
+                np.minimum(best, d[0].min(0), out=best)
+            for k in range(self.face_starts[m], self.face_starts[m + 1], rows):
+                to = min(k + rows, self.face_starts[m + 1])
+                d, far = held[:4, : to - k, : len(best)], held[4, : to - k, : len(best)]
+                np.matmul(self.faces[:, k:to], place, out=d)
+                np.minimum(d[0], d[1], out=far)
+                np.minimum(far, d[2], out=far)
+                np.square(d[3], out=d[3])
+                np.minimum(best, np.where(far < 0, np.inf, d[3]).min(0), out=best)
+        np.sqrt(out, out=out)
+        some = np.flatnonzero((np.abs(places[:3]) <= self.reach[m][:, None]).all(0)) if self.closed[m] else np.arange(len(out))
+        for at in range(0, len(some), block):
+            own = some[at : at + block]
+            out[own[np.abs(self._winding(m, places[:3, own])) > 0.5]] *= -1
+        return out
+
+    def _winding(self, m: int, place: np.ndarray, rows: int = 32) -> np.ndarray:
+        """The share of the full solid angle that mesh m fills, seen from each place."""
+        total = np.zeros(place.shape[1])
+        for at in range(self.starts[m], self.starts[m + 1], rows):
+            ray = self.corners[at : min(at + rows, self.starts[m + 1])].transpose(2, 1, 0)[..., None] - place[:, None, None]
+            (ax, bx, cx), (ay, by, cy), (az, bz, cz) = ray
+            la, lb, lc = np.sqrt(np.einsum("xcij,xcij->cij", ray, ray))
+            ab, bc, ca = np.einsum("xcij,xcij->cij", ray, ray[:, [1, 2, 0]])
+            top = ax * (by * cz - bz * cy) + ay * (bz * cx - bx * cz) + az * (bx * cy - by * cx)
+            total += np.arctan2(top, la * lb * lc + ab * lc + bc * la + ca * lb).sum(0)
+        return total / (2 * np.pi)
+
+
+def _linear(directions: list[np.ndarray], origins: list[np.ndarray]) -> np.ndarray:
+    """(len(directions), n, 4): the functions direction . (p - origin) as rows for (x, y, z, 1)."""
+    return np.stack([np.column_stack([d, -(d * o).sum(1)]) for d, o in zip(directions, origins, strict=True)])
 
 
 def random_subset(rows: DataFrame, n: int, key: list[str], seed: int = 1) -> DataFrame:

@@ -26,29 +26,35 @@ def map_groups(rows: DataFrame, key: str, work: Callable[[pa.Table], pa.Table],
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            size += batch.num_rows
-            if size < rows_at_once:
-                continue
-            table = pa.Table.from_batches(held)
-            cut = _last_start(table.column(key))
-            if cut:
-                yield from work(table.slice(0, cut)).to_batches()
-                table = table.slice(cut)
-            elif table.num_rows > most:
-                raise ValueError(f"{key} {table.column(key)[0]} has more than {most} rows")
-            held, size = table.to_batches(), table.num_rows
-        if size:
-            yield from work(pa.Table.from_batches(held)).to_batches()
+        for table in whole_groups(batches, key, rows_at_once, most):
+            yield from work(table).to_batches()
 
     return rows.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows_at_once: int, most: int) -> Iterator[pa.Table]:
+    """Batches sorted by key as tables of about rows_at_once rows that hold whole groups; more than `most` rows held for one group raise an error."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows_at_once:
+            continue
+        table = pa.Table.from_batches(held)
+        cut = _last_start(table.column(key))
+        if cut:
+            yield table.slice(0, cut)
+            table = table.slice(cut)
+        elif table.num_rows > most:
+            raise ValueError(f"{key} {table.column(key)[0]} has more than {most} rows")
+        held, size = table.to_batches(), table.num_rows
+    if size:
+        yield pa.Table.from_batches(held)
+
+
 def codes_of(column: pa.ChunkedArray) -> np.ndarray:
     """A number for each row, equal for equal values; structs are told apart by all their fields."""
     column = column.combine_chunks()
@@ -65,10 +71,14 @@ def _last_start(column: pa.ChunkedArray) -> int:
     return int(changes[-1]) + 1 if len(changes) else 0
 
 
+def starts_of(column: pa.ChunkedArray) -> np.ndarray:
+    """Where the groups of a sorted column start, and its length."""
+    codes = codes_of(column)
+    return np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+
+
 def groups_of(table: pa.Table, key: str) -> Iterator[pa.Table]:
     """The groups of a sorted table, one by one."""
-    codes = codes_of(table.column(key))
-    starts = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+    starts = starts_of(table.column(key))
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
         yield table.slice(a, b - a)
-
