@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import predicates, scalar
 from .grouping import codes_of, join_made, map_groups
 
-TILE = 64  # columns along a side of a tile
-CANDIDATES = 1_000_000  # columns under triangles that are tested at once
+TILE = 64  # columns or cells along a side of a tile
+CANDIDATES = 1_000_000  # columns under triangles, or cells in their boxes, that are tested at once
+FACES = 100_000  # given at once
 
 
 def from_points(points: DataFrame, pitch: float, key: str = "mesh") -> DataFrame:
@@ -22,31 +23,96 @@ def from_points(points: DataFrame, pitch: float, key: str = "mesh") -> DataFrame
 
 
 def from_triangles(triangles: DataFrame, pitch: float, key: str = "mesh") -> DataFrame:
-    """key, ix, iy, iz: cells that a triangle meets, by separating axes within the triangle's box."""
-    names = [f"{p}{a}" for p in "abc" for a in "xyz"]
+    """key, ix, iy, iz: cells that a triangle meets, by separating axes within the triangle's box.
+
+    A triangle without nine finite coordinates meets none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.column_stack([batch.column(n).to_numpy() for n in names]).reshape(-1, 3, 3) / pitch
-            for k, t in zip(batch.column(key).to_pylist(), rows, strict=True):
-                cells = _cells(t)
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(cells), batch.schema.field(key).type), *(pa.array(cells[:, c], pa.int32()) for c in range(3))], [key, "ix", "iy", "iz"])
+            t = _corners_of(batch, pitch)
+            low, size = _boxes(t)
+            strides = np.column_stack([size[:, 1] * size[:, 2], size[:, 2], np.ones(len(t), np.int64)])
+            starts = np.concatenate([[0], np.cumsum(size.prod(1))])
+            for met in _met(t, low, size, starts[:-1], strides):
+                own = np.searchsorted(starts, met, "right") - 1
+                cells = low[own] + (met - starts[own])[:, None] // strides[own] % size[own]
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(own)), *(pa.array(cells[:, c], pa.int32()) for c in range(3))], [key, "ix", "iy", "iz"])
 
     kind = triangles.schema[key].dataType.simpleString()
-    return triangles.select(key, *names).mapInArrow(run, f"{key} {kind}, ix int, iy int, iz int").distinct()
+    return _placed(triangles).select(key, *_CORNERS).mapInArrow(run, f"`{key}` {kind}, ix int, iy int, iz int").distinct()
+
+
+_CORNERS = [f"{p}{a}" for p in "abc" for a in "xyz"]
+
+
+def _placed(triangles: DataFrame) -> DataFrame:
+    """Triangles whose nine coordinates are finite."""
+    return triangles.where(" AND ".join(f"abs({c}) < double('infinity')" for c in _CORNERS))
+
+
+def _corners_of(rows: pa.RecordBatch | pa.Table, pitch: float) -> np.ndarray:
+    """(n, 3 corners, 3 axes) in units of the pitch."""
+    return np.column_stack([rows.column(c).to_numpy() for c in _CORNERS]).astype(float).reshape(-1, 3, 3) / pitch
+
+
+def _boxes(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lowest cell of each triangle's box, and the number of cells along its sides."""
+    low = np.floor(t.min(1)).astype(np.int64)
+    return low, np.floor(t.max(1)).astype(np.int64) - low + 1
+
 
+def _met(t: np.ndarray, low: np.ndarray, size: np.ndarray, base: np.ndarray, strides: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of the cells that each triangle meets among those of its box, by separating axes, some triangles at a time.
 
-def _cells(t: np.ndarray) -> np.ndarray:
-    low, high = np.floor(t.min(0)).astype(int), np.floor(t.max(0)).astype(int)
-    grid = np.stack(np.meshgrid(*[np.arange(a, b + 1) for a, b in zip(low, high, strict=True)], indexing="ij"), -1).reshape(-1, 3)
-    v = t[None] - (grid + 0.5)[:, None]
-    edges = [t[1] - t[0], t[2] - t[1], t[0] - t[2]]
-    axes = [np.cross(edges[0], edges[1]), *(np.cross(np.eye(3)[k], e) for e in edges for k in range(3))]
-    keep = np.ones(len(grid), bool)
-    for axis in axes:
-        along, reach = v @ axis, 0.5 * np.abs(axis).sum()
-        keep &= (along.min(1) <= reach + 1e-12) & (along.max(1) >= -reach - 1e-12)
-    return grid[keep]
+    t: (n, 3 corners, 3 axes) in units of the pitch; low, size: (n, 3), the box. The cell at x, y, z
+    from low has the number base + (x, y, z) . strides. The nine axes across an edge and an axis of
+    space see a whole line of cells alike, so they are tested once a line, and only the triangle's
+    plane is tested cell by cell.
+    """
+    ends, at = np.cumsum(size.prod(1)), 0
+    while at < len(t):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CANDIDATES, "right")))
+        v, n, own = t[at:to] - low[at:to, None], size[at:to], strides[at:to]
+        lines = [_lines_met(v, n, k) for k in range(3)]
+        starts, of, y, z, keep = lines[0]
+        of, y, z = of[keep], y[keep], z[keep]
+        count = n[of, 0]
+        first = np.cumsum(count) - count
+        x = np.arange(count.sum()) - np.repeat(first, count)
+        normal = np.cross(v[:, 1] - v[:, 0], v[:, 2] - v[:, 1])
+        along, reach = (v * normal[:, None]).sum(2), 0.5 * np.abs(normal).sum(1) + 1e-12
+        row = (y + 0.5) * normal[of, 1] + (z + 0.5) * normal[of, 2]
+        plane = (x + 0.5) * np.repeat(normal[of, 0], count)
+        keep = plane >= np.repeat((along.min(1) - reach)[of] - row, count)
+        keep &= plane <= np.repeat((along.max(1) + reach)[of] - row, count)
+        starts, *_, met = lines[1]
+        keep &= met[np.repeat(starts[of] + z * count, count) + x]
+        starts, *_, met = lines[2]
+        keep &= met[np.repeat(starts[of] + y, count) + x * np.repeat(n[of, 1], count)]
+        yield (np.repeat(base[at:to][of] + y * own[of, 1] + z * own[of, 2], count) + x * np.repeat(own[of, 0], count))[keep]
+        at = to
+
+
+def _lines_met(v: np.ndarray, size: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Lines of cells along axis k in each triangle's box: where a triangle's lines start, and of each line
+    its triangle, its place on the two axes after k, and whether an axis across k and an edge keeps it."""
+    p, q = (k + 1) % 3, (k + 2) % 3
+    count = size[:, p] * size[:, q]
+    starts = np.cumsum(count) - count
+    of = np.repeat(np.arange(len(v)), count)
+    place, depth = np.arange(len(of)) - np.repeat(starts, count), np.repeat(size[:, q], count)
+    i = place // depth
+    j = place - i * depth
+    mid_i, mid_j, keep = i + 0.5, j + 0.5, np.ones(len(of), bool)
+    for a, b in ((0, 1), (1, 2), (2, 0)):
+        edge = v[:, b] - v[:, a]
+        u, w = -edge[:, q], edge[:, p]
+        along, reach = v[:, :, p] * u[:, None] + v[:, :, q] * w[:, None], 0.5 * (np.abs(u) + np.abs(w)) + 1e-12
+        middle = mid_i * np.repeat(u, count) + mid_j * np.repeat(w, count)
+        keep &= middle >= np.repeat(along.min(1) - reach, count)
+        keep &= middle <= np.repeat(along.max(1) + reach, count)
+    return starts, of, i, j, keep
 
 
 def columns(voxels: DataFrame, key: str = "mesh") -> DataFrame:
@@ -174,11 +240,132 @@ def surface(voxels: DataFrame, pitch: float = 1.0, origin: tuple[float, float, f
     around = voxels.withColumn("s", sides).select(key, "ix", "iy", "iz", "s.axis", "s.step", *[(F.col(f"i{a}") + F.when(F.col("s.axis") == k, F.col("s.step")).otherwise(0)).alias(f"n{a}") for k, a in enumerate("xyz")])
     other = voxels.select(key, *[F.col(f"i{a}").alias(f"n{a}") for a in "xyz"])
     outer = join_made(around, other, [key, "nx", "ny", "nz"], "left_anti")
+    return _with_corners(outer, pitch, origin, key)
+
+
+def _with_corners(outer: DataFrame, pitch: float, origin: tuple[float, float, float], key: str) -> DataFrame:
     ring = ((0, 0), (1, 0), (1, 1), (0, 1))
     corner = lambda u, v: F.struct(*[((F.col(f"i{a}") + F.when(F.col("axis") == k, F.when(F.col("step") > 0, 1).otherwise(0)).when(F.col("axis") == (k + 2) % 3, u).otherwise(v)) * F.lit(pitch) + F.lit(origin[k])).alias(a) for k, a in enumerate("xyz")])
     return outer.select(key, "axis", "step", F.array(*[corner(u, v) for u, v in ring]).alias("corners"))
 
 
+def surface_of_triangles(triangles: DataFrame, pitch: float = 1.0, origin: tuple[float, float, float] = (0.0, 0.0, 0.0), key: str = "mesh", triangles_at_once: int = 5_000, cells_at_once: int = 4_000_000) -> DataFrame:
+    """surface of the cells of from_triangles, without rows for the cells.
+
+    Triangles are dealt to the tiles of TILE x TILE x TILE cells under their box and one cell more, so
+    a tile knows the cells next to its own and gives the faces of its own alone. A task reads its
+    tiles one after the other, about triangles_at_once triangles and grids of about cells_at_once cells
+    at a time; of a tile that goes on it only holds the cells, so a tile may have any number of triangles.
+    """
+    tiles = [f"t{a}" for a in "xyz"]
+    tile = lambda f, a, by: F.floor((F.floor(f(*[F.col(f"{p}{a}") for p in "abc"]) / F.lit(pitch)) + F.lit(by + TILE // 2)) / TILE).cast("int")
+    dealt = _placed(triangles).select(key, *_CORNERS)
+    for a in "xyz":
+        dealt = dealt.withColumn(f"t{a}", F.explode(F.sequence(tile(F.least, a, -1), tile(F.greatest, a, 1))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last tile read, which may go on, and its cells
+        for table in _in_bulk(batches, triangles_at_once):
+            keys, number = table.column(key).combine_chunks(), np.column_stack([table.column(n).to_numpy() for n in tiles]).astype(np.int64)
+            codes = np.column_stack([codes_of(table.column(key)), number])
+            first = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]).any(1)])
+            own = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(keys)]))
+            keys, number = keys.take(pa.array(first)), number[first]
+            more = np.empty((0, 3), np.int64)
+            if held is not None:
+                if held[0].equals(keys.slice(0, 1)) and (held[1] == number[:1]).all():
+                    more = held[2]
+                else:
+                    yield from _faces_of_cells(*held, key)
+            t = _corners_of(table, pitch)
+            low, size = _boxes(t)
+            start = number[own] * TILE - TILE // 2
+            high = np.minimum(low + size - 1, start + TILE)
+            low = np.maximum(low, start - 1)
+            least, greatest = np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+            least[0], greatest[0] = np.minimum(least[0], more.min(0, initial=2**40)), np.maximum(greatest[0], more.max(0, initial=-(2**40)))
+            ends, at, first = np.cumsum((greatest - least + 3).prod(1)), 0, np.r_[first, len(own)]
+            while at < len(keys):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + cells_at_once, "right")))
+                grids, some = _Grids(least[at:to], greatest[at:to]), slice(first[at], first[to])
+                if at == 0:
+                    grids.add(np.zeros(len(more), np.int64), more)
+                for met in _met(t[some], low[some], high[some] - low[some] + 1, grids.number(own[some] - at, low[some]), grids.strides[own[some] - at]):
+                    grids.held[met] = True
+                whole = to - at - (to == len(keys))
+                yield from _faces(grids, whole, keys.slice(at, to - at), number[at:to], key)
+                at = to
+            held = keys.slice(len(keys) - 1), number[-1:], grids.cells(whole, whole + 1)[2]
+        if held is not None:
+            yield from _faces_of_cells(*held, key)
+
+    kind = triangles.schema[key].dataType.simpleString()
+    # few triangles make many faces: a given number of parts is not joined into one task
+    spark = triangles.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    outer = dealt.repartition(parts, key, *tiles).sortWithinPartitions(key, *tiles).mapInArrow(run, f"`{key}` {kind}, ix int, iy int, iz int, axis int not null, step int not null")
+    return _with_corners(outer, pitch, origin, key)
+
+
+class _Grids:
+    """Which cells of some tiles are held: a dense grid for each tile over its cells from low to high and one more around."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray):
+        self.low, self.size = low - 1, high - low + 3
+        self.strides = np.column_stack([self.size[:, 1] * self.size[:, 2], self.size[:, 2], np.ones(len(low), np.int64)])
+        self.starts = np.concatenate([[0], np.cumsum(self.size.prod(1))])
+        self.held = np.zeros(self.starts[-1], bool)
+
+    def number(self, tile: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        return self.starts[tile] + ((cells - self.low[tile]) * self.strides[tile]).sum(1)
+
+    def add(self, tile: np.ndarray, cells: np.ndarray) -> None:
+        self.held[self.number(tile, cells)] = True
+
+    def cells(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers, tiles and places of the cells held in the tiles from first to before end."""
+        number = np.flatnonzero(self.held[self.starts[first] : self.starts[end]]) + self.starts[first]
+        tile = np.repeat(np.arange(first, end), np.diff(np.searchsorted(number, self.starts[first : end + 1])))
+        x, rest = np.divmod(number - self.starts[tile], self.strides[tile, 0])
+        return number, tile, np.column_stack([x, *np.divmod(rest, self.strides[tile, 1])]) + self.low[tile]
+
+
+def _faces(grids: _Grids, tiles: int, keys: pa.Array, number: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
+    """Outer faces of the own cells of the first tiles."""
+    at, tile, cells = grids.cells(0, tiles)
+    start = (number * TILE - TILE // 2)[tile]
+    own = np.flatnonzero(((cells >= start) & (cells < start + TILE)).all(1))
+    at, tile, cells = at[own], tile[own], np.ascontiguousarray(cells[own].T)
+    for axis in range(3):
+        by = grids.strides[tile, axis]
+        for step in (-1, 1):
+            outer = np.flatnonzero(~grids.held[at + step * by])
+            for k in range(0, len(outer), FACES):
+                some = outer[k : k + FACES]
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(tile[some])), *(pa.array(c[some], pa.int32()) for c in cells), *(pa.array(np.full(len(some), c, np.int32)) for c in (axis, step))], [key, "ix", "iy", "iz", "axis", "step"])
+
+
+def _faces_of_cells(keys: pa.Array, number: np.ndarray, cells: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
+    """Outer faces of one tile's own cells."""
+    if len(cells):
+        grids = _Grids(cells.min(0)[None], cells.max(0)[None])
+        grids.add(np.zeros(len(cells), np.int64), cells)
+        yield from _faces(grids, 1, keys, number, key)
+
+
+def _in_bulk(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of at least so many rows, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
+
+
 def grid_points(spark, low: tuple[float, float, float], high: tuple[float, float, float], n: int, padding: float = 0.0) -> DataFrame:
     """pid, ix, iy, iz, x, y, z of an even n x n x n grid over a box widened by padding times its diagonal."""
     diagonal = sum((b - a) ** 2 for a, b in zip(low, high, strict=True)) ** 0.5

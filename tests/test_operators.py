@@ -479,3 +479,58 @@ def test_upward_hits_of_tiles_equal_those_of_columns(spark):
     assert key(new) == key(old) and new.count() > 64 * 64
     plan = voxels.filled_columns(new, 1.5, 0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "HashAggregate" not in plan
+
+
+def plain_cells(t):
+    """The cells of one triangle (in units of the pitch), each cell of its box against each axis."""
+    low, high = np.floor(t.min(0)).astype(int), np.floor(t.max(0)).astype(int)
+    grid = np.array(list(itertools.product(*[range(a, b + 1) for a, b in zip(low, high, strict=True)])))
+    v, edges = t[None] - (grid + 0.5)[:, None], [t[1] - t[0], t[2] - t[1], t[0] - t[2]]
+    keep = np.ones(len(grid), bool)
+    for axis in [np.cross(edges[0], edges[1]), *(np.cross(np.eye(3)[k], e) for e in edges for k in range(3))]:
+        along, reach = v @ axis, 0.5 * np.abs(axis).sum() + 1e-12
+        keep &= (along.min(1) <= reach) & (along.max(1) >= -reach)
+    return {tuple(c) for c in grid[keep].tolist()}
+
+
+def plain_faces(cells, pitch, origin):
+    """Faces between a cell that is held and one that is not, as axis, step and the set of corners."""
+    out = set()
+    for c in cells:
+        for axis, step in itertools.product(range(3), (-1, 1)):
+            if tuple(v + (step if k == axis else 0) for k, v in enumerate(c)) not in cells:
+                sides = [[v + (step > 0)] if k == axis else [v, v + 1] for k, v in enumerate(c)]
+                out.add((axis, step, frozenset(tuple(v * pitch + o for v, o in zip(p, origin, strict=True)) for p in itertools.product(*sides))))
+    return out
+
+
+@pytest.mark.parametrize("at_once", [(5_000, 4_000_000), (3, 1)])
+def test_surface_of_triangles_equals_the_definition(spark, at_once):
+    """Meshes over several tiles and on their borders, triangles on the grid, without area or without a place, a mesh without a key; tables that cut a tile."""
+    rng = np.random.default_rng(7)
+    meshes = {None: box_triangles((0, 0, 0), (3, 2, 5)), "on": box_triangles((29, -35, -4), (32, -31, 4)), "cut": box_triangles((-36, 1.3, -34.5), (2.7, 4.1, 35.2))}
+    meshes["a"] = np.concatenate([rng.uniform(-9, 9, (9, 3, 3)), rng.uniform(28, 36, (20, 3, 3)), [[[1, 1, 1]] * 3, [[0, 0, 0], [3, 0, 0], [1, 0, 0]]]])
+    pitch, origin = 0.5, (1.0, -2.0, 0.25)
+    rows = [(m, *(t * pitch).ravel().tolist()) for m, own in meshes.items() for t in own]
+    lost = [(m, *row) for m in ("a", "gone") for row in ([0.0] * 8 + [None], [0.0] * 8 + [math.nan], [math.inf] + [0.0] * 8)]
+    triangles = spark.createDataFrame(rows + lost, "mesh string, " + ", ".join(f"{p}{a} double" for p in "abc" for a in "xyz"))
+    want = {m: set().union(*[plain_cells(t) for t in own]) for m, own in meshes.items()}
+    cells = [(r.mesh, (r.ix, r.iy, r.iz)) for r in voxels.from_triangles(triangles, pitch).collect()]
+    assert len(cells) == len(set(cells)) and set(cells) == {(m, c) for m, own in want.items() for c in own}
+    rows = voxels.surface_of_triangles(triangles, pitch, origin, triangles_at_once=at_once[0], cells_at_once=at_once[1]).collect()
+    found = [(r.mesh, r.axis, r.step, frozenset((c.x, c.y, c.z) for c in r.corners)) for r in rows]
+    assert len(found) == len(set(found)) and set(found) == {(m, *f) for m, own in want.items() for f in plain_faces(own, pitch, origin)}
+    keyed = triangles.where("mesh IS NOT NULL")  # a join tells cells without a key apart from each other
+    asis = lambda df: sorted(df.collect())
+    assert asis(voxels.surface_of_triangles(keyed, pitch, origin)) == asis(voxels.surface(voxels.from_triangles(keyed, pitch), pitch, origin))
+
+
+def test_voxel_surface_makes_no_rows_of_cells(spark, sf_dir):
+    """Cells were made distinct by a shuffle and met their neighbours by a join of six rows a cell."""
+    from citymill.plans import catalog
+
+    df = catalog.QUERIES["voxel_surface"](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Exchange") == 2
+    prisms = solids.prism_triangles(catalog._prisms(spark, sf_dir).where("mesh < 40"))
+    assert sorted(df.where("mesh < 40").collect()) == sorted(voxels.surface(voxels.from_triangles(prisms, 2.0), 2.0).collect())
